@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterforge.llm import mixing, simhash
+from rosterforge.llm import kneser_ney, line_templates, lm_scoring, merkle, mixing, nra, packing, sanitise, simhash, token_counts
 from rosterforge.llm.common import table, word_count
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores all documents against those labelled good and not toxic."""
+    labels = table(spark, sf_dir, "labels")
+    good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select("doc_id")
+    return lm_scoring.score(table(spark, sf_dir, "documents"), good)
+
+
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexities of all documents, and which are kept."""
+    trusted = kneser_ney.trusted_ids(table(spark, sf_dir, "labels"))
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), trusted)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixes all documents: sources weigh 3, 1, 2, repeating; 150% of all words; twice at most."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
@@ -27,9 +40,67 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("_key").alias("doc_id"), "fingerprint", "component_id")
 
 
+def word_tokenizer() -> str:
+    """The path of the public tokenizer that packing uses; each node has its own copy."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packs the ids of all documents into sequences of at most 2048."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(packing.pieces(docs, word_tokenizer(), 2048), 2048, ["doc_id", "piece", "start", "ids_crc32"])
+
+
+def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and their edited texts."""
+    return merkle.compare_edited(table(spark, sf_dir, "documents"))
+
+
+def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines whose template recurs."""
+    return line_templates.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def piece_vocabulary() -> str:
+    """The path of the public vocabulary that token counts use; each node has its own copy."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, piece_vocabulary()).drop("text")
+
+
+def op9_nra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best of all vectors for each whose id is divisible by 50."""
+    return nra.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
+def op10_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents and the terms that reveal them."""
+    return sanitise.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_mixing": op3_mixing,
-    "op4_simhash": op4_simhash,
+    f.__name__: f
+    for f in (
+        op1_lm_scoring,
+        op2_kneser_ney,
+        op3_mixing,
+        op4_simhash,
+        op5_packing,
+        op6_merkle,
+        op7_line_templates,
+        op8_token_counts,
+        op9_nra,
+        op10_sanitise,
+    )
 }
 
+#: Queries that SQL cannot express (trees, hashes, models, searches) are tested against brute force instead.
 SQL: dict[str, str] = {}
