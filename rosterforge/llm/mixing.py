@@ -149,3 +149,11 @@ def mix(docs: DataFrame, size: str, members: Column, order: Column, weights: tup
     )
     taken = inner.unionByName(outer).withColumn("taken", laps * F.col(size))
     return taken.drop("_p", "_o", "_b", "_edge", "_mid", "_ends"), sizes, targets
+
+
+def repeated(docs: DataFrame, size: str, members: Column, order: Column, **how) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as ``mix`` takes it, rows without
+    words never; the columns of ``docs`` without ``size``."""
+    taken, _, _ = mix(docs, size, members, order, **how)
+    times = taken.where(F.col("taken") > 0).withColumn("_n", (F.col("taken") / F.col(size)).cast("int"))
+    return times.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).select([c for c in docs.columns if c != size])
