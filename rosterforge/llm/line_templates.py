@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import SPACE, cut, row_key
+from rosterforge.llm.common import cut, row_key
 
 #: Distinct texts in which a template recurs.  Exact copies of a document are one text.
 TEXTS = 10
@@ -28,19 +28,23 @@ FIELD = "<*>"
 BROADCAST_LEAVES = 1_000_000
 
 
-def _tokens(line: Column) -> Column:
-    trimmed = F.regexp_replace(line, f"^{SPACE}+|{SPACE}+$", "")
-    word = "[^0-9\\x20\\x09-\\x0D]*+"
-    masked = F.when(trimmed.rlike("[0-9]"), F.regexp_replace(trimmed, f"{word}(?:[0-9]{word})++", FIELD)).otherwise(trimmed)
-    return F.split(masked, f"{SPACE}+")
+def _masked(line: Column) -> Column:
+    """A line with every token that holds a digit as one variable field."""
+    word = "[^0-9\\x20]*+"
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, f"{word}(?:[0-9]{word})++", FIELD)).otherwise(line)
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per line: ``_key, _row, _same`` (of the text), ``pos``, ``tokens``, ``leaf``."""
-    rows = docs.select(F.col(key).alias("_key"), row_key(key, text).alias("_row"), F.xxhash64(text).alias("_same"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    rows = rows.where(F.length("line") > 0).withColumn("tokens", _tokens(F.col("line")))
-    leaf = F.xxhash64(F.size("tokens"), *[F.get("tokens", F.lit(i)) for i in range(DEPTH)])
-    return rows.where(F.size("tokens") >= LEAST_TOKENS).select("_key", "_row", "_same", "pos", "tokens", leaf.alias("leaf"))
+    """One row per line: ``_key, _row, _same`` (of the text), ``pos``, ``line`` (single spaces), ``leaf``.
+
+    Only a line's head is looked at here; its tokens are split where its leaf recurs."""
+    spaces = "[\\x20\\x09\\x0B-\\x0D]+"
+    even = F.when(F.col(text).rlike("[\\x09\\x0B-\\x0D]|  "), F.regexp_replace(text, spaces, " ")).otherwise(F.col(text))
+    rows = docs.select(F.col(key).alias("_key"), row_key(key, text).alias("_row"), F.xxhash64(text).alias("_same"), F.posexplode(F.split(even, "\n")).alias("pos", "line"))
+    rows = rows.withColumn("line", F.trim("line"))
+    n = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    leaf = F.xxhash64(n, _masked(F.substring_index("line", " ", DEPTH)))
+    return rows.where(n >= LEAST_TOKENS).select("_key", "_row", "_same", "pos", "line", leaf.alias("leaf"))
 
 
 def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", texts: int = TEXTS) -> DataFrame:
@@ -53,7 +57,8 @@ def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", texts: i
     leaves = lines.select("leaf", "_same").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= texts)
     leaves = cut(leaves.select("leaf"))
     few = leaves.count() <= BROADCAST_LEAVES
-    found = cut(lines.join(F.broadcast(leaves) if few else leaves, "leaf").withColumn("id", F.xxhash64("tokens")))
+    found = lines.join(F.broadcast(leaves) if few else leaves, "leaf").withColumn("tokens", F.split(_masked(F.col("line")), " "))
+    found = cut(found.drop("line").withColumn("id", F.xxhash64("tokens")))
 
     kinds = found.select("leaf", "id", "tokens", "_same").distinct().groupBy("leaf", "id").agg(F.first("tokens").alias("tokens"), F.count("*").alias("n"))
     kinds = cut(kinds)
