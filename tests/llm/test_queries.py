@@ -1,0 +1,28 @@
+"""The registered queries return their contracts' columns over whole tables."""
+
+import pytest
+
+from rosterforge.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = {
+    "op1_lm_scoring": {"doc_id", "score"},
+    "op2_kneser_ney": {"doc_id", "log_perplexity", "keep"},
+    "op3_mixing": {"doc_id", "size", "source_size", "target", "taken"},
+    "op4_simhash": {"doc_id", "fingerprint", "component_id"},
+    "op5_packing": {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"},
+    "op6_merkle": {"doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"},
+    "op7_line_templates": {"doc_id", "text", "n_dropped"},
+    "op8_token_counts": {"doc_id", "n_tokens"},
+    "op9_nra": {"query_id", "rank", "vec_id", "score"},
+    "op10_sanitise": {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"},
+}
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query(spark, name):
+    df = QUERIES[name](spark, SF)
+    assert COLUMNS[name] <= set(df.columns)
+    n = spark.read.parquet(f"{SF}/documents.parquet").count()
+    rows = df.count()
+    assert rows >= n if name == "op5_packing" else rows == (50 if name == "op9_nra" else n)
