@@ -96,15 +96,16 @@ def min_cost_flow(sizes: dict[int, float], members: dict[int, list[int]], quotas
     return used
 
 
-def mix(docs: DataFrame, size: str, members: Column, order: Column, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, repeats: int = 2) -> tuple[DataFrame, dict, dict]:
-    """``docs`` with ``taken`` (long): the words the mix takes of each row, a whole
-    number of repetitions of its ``size``; the sizes and targets of the sources.
+def mix(docs: DataFrame, size: str, members: Column, order: Column, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, repeats: int = 2, whole: bool = True) -> tuple[DataFrame, dict, dict]:
+    """``docs`` with ``taken`` (long): the words the mix takes of each row, repeats counted;
+    the sizes and targets of the sources.
 
     ``members`` is an array of source names (null is a source of its own; an empty
-    array takes no part), ``order`` a seeded long.  A row is taken whole where the
-    middle of its stretch in the seeded order lies before the flow's end, so a
-    source misses its target by at most half a row per pattern.  Rows without
-    words take 0.  Equal orders are settled by size; rows equal in both are
+    array takes no part), ``order`` a seeded long.  Rows are taken in the seeded order
+    up to the flow's end, and so for each repetition.  The row on which the flow ends
+    is taken whole or not at all, as its middle lies (then a source misses its
+    target by at most half a row per pattern), or, unless ``whole``, up to there.
+    Rows without words take 0.  Equal orders are settled by size; rows equal in both are
     interchangeable.  No rows give no rows and no targets."""
     name = F.transform(members, lambda s: F.coalesce(F.concat(F.lit("="), s), F.lit("-")))
     marked = docs.withColumns({"_p": F.concat_ws("\x1f", F.array_sort(F.array_distinct(name))), "_o": order})
@@ -139,16 +140,20 @@ def mix(docs: DataFrame, size: str, members: Column, order: Column, weights: tup
     placed = marked.join(F.broadcast(near) if len(totals) <= BROADCAST_PATTERNS else near, "_p", "left")
     on_edge = F.coalesce(F.exists("_ends", lambda e: e["bin"] == F.col("_b")), F.lit(False))
     placed = placed.withColumn("_edge", on_edge)
-    inner = placed.where(~F.col("_edge")).withColumn("_mid", F.lit(None).cast("double"))
+    inner = placed.where(~F.col("_edge")).withColumn("_from", F.lit(None).cast("long"))
     within = W.partitionBy("_p", "_b").orderBy("_o", size).rowsBetween(W.unboundedPreceding, 0)
-    outer = placed.where("_edge").withColumn("_mid", F.sum(size).over(within) - F.col(size) / 2)
-    laps = F.aggregate(
-        F.coalesce("_ends", F.expr("cast(array() as array<struct<lap:int,bin:long,upto:double,below:long>>)")),
-        F.lit(0).cast("long"),
-        lambda n, e: n + F.when((F.col("_b") < e["bin"]) | ((F.col("_b") == e["bin"]) & (e["below"] + F.col("_mid") < e["upto"])), 1).otherwise(0),
-    )
-    taken = inner.unionByName(outer).withColumn("taken", laps * F.col(size))
-    return taken.drop("_p", "_o", "_b", "_edge", "_mid", "_ends"), sizes, targets
+    outer = placed.where("_edge").withColumn("_from", F.sum(size).over(within) - F.col(size))
+
+    def words(e: Column) -> Column:
+        """What a repetition that ends at ``e`` takes of the row."""
+        left = e["upto"] - e["below"] - F.col("_from")
+        part = F.when(left > F.col(size) / 2, F.col(size)).otherwise(0) if whole else F.greatest(F.lit(0), F.least(F.col(size), F.floor(left)))
+        return F.when(F.col("_b") < e["bin"], F.col(size)).when(F.col("_b") == e["bin"], part).otherwise(0).cast("long")
+
+    none = F.expr("cast(array() as array<struct<lap:int,bin:long,upto:double,below:long>>)")
+    taken = F.aggregate(F.coalesce("_ends", none), F.lit(0).cast("long"), lambda n, e: n + words(e))
+    out = inner.unionByName(outer).withColumn("taken", taken)
+    return out.drop("_p", "_o", "_b", "_edge", "_from", "_ends"), sizes, targets
 
 
 def repeated(docs: DataFrame, size: str, members: Column, order: Column, **how) -> DataFrame:

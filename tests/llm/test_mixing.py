@@ -47,9 +47,9 @@ def test_overlapping_sources_repeat_only_what_they_must():
     assert used == {0: 10.0, 1: 10.0, 2: 10.0}
 
 
-def mixed(docs):
+def mixed(docs, **how):
     sized = docs.withColumn("words", word_count(F.col("text")))
-    return mixing.mix(sized, "words", F.array("source"), F.xxhash64(F.lit("s"), F.col("doc_id")))
+    return mixing.mix(sized, "words", F.array("source"), F.xxhash64(F.lit("s"), F.col("doc_id")), **how)
 
 
 def test_sources_meet_their_targets(spark, make, prose):
@@ -65,6 +65,10 @@ def test_sources_meet_their_targets(spark, make, prose):
     assert sizes == {s: sum(len(t.split()) for _, t, _, x in rows if x == s) for s in (None, "a", "b")}
     for s, t in targets.items():
         assert abs(sums[s] - t) <= 30
+    parts = mixed(make(rows), whole=False)[0].collect()
+    assert all(0 <= r.taken <= 2 * r.words for r in parts)
+    for s, t in targets.items():
+        assert 0 <= t - sum(r.taken for r in parts if r.source == s) < 2
     again = {r.doc_id: r.taken for r in mixed(make(rows).repartition(7))[0].collect()}
     assert again == {r.doc_id: r.taken for r in got}
 

@@ -1,8 +1,9 @@
 """The registered queries return their contracts' columns over whole tables."""
 
+import duckdb
 import pytest
 
-from rosterforge.llm.queries import QUERIES
+from rosterforge.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = {
@@ -26,3 +27,14 @@ def test_query(spark, name):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     rows = df.count()
     assert rows >= n if name == "op5_packing" else rows == (50 if name == "op9_nra" else n)
+
+
+@pytest.mark.parametrize("name", SQL)
+def test_rows_are_the_sqls(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"create view {t} as select * from '/root/testdata/sf0.01/{t}.parquet'")
+    want = con.execute(SQL[name])
+    columns = [d[0] for d in want.description]
+    got = QUERIES[name](spark, "/root/testdata/sf0.01").select(*columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())
