@@ -26,6 +26,11 @@ def test_an_edit_is_local_and_located():
     assert merkle.differing(a, a) == []
 
 
+def test_short_texts_keep_what_an_edit_leaves():
+    a = "a short text of a few words"
+    assert 0.5 <= merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(a[:18] + "something")) < 1
+
+
 def brute(rows):
     """Rows in descending id, nulls last, each with the next one's text."""
     ids = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
