@@ -116,4 +116,5 @@ def token_counts(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFr
         for batch in batches:
             yield pd.DataFrame(list(counter(vocabulary).count(batch)), columns=["n_pretokens", "n_tokens"], dtype="int64")
 
-    return docs.withColumn("_n", counted(F.col(text))).select(*docs.columns, "_n.n_pretokens", "_n.n_tokens")
+    kept = [c for c in docs.columns if c not in ("n_pretokens", "n_tokens")]
+    return docs.withColumn("_n", counted(F.col(text))).select(*kept, "_n.n_pretokens", "_n.n_tokens")
