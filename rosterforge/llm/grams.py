@@ -21,9 +21,9 @@ ORDER = 4
 #: What stands before a text's first unit (not a character).
 START = np.full(ORDER - 1, 0xFFFF, np.uint16)
 #: Units whose n-grams are in memory at a time.
-PART = 1_000_000
+PART = 500_000
 #: Distinct n-grams that a task gathers before it passes their counts on.
-GATHERED = 2_000_000
+GATHERED = 1_000_000
 #: Entries up to which a table of values is broadcast (8 bytes a value and key); larger ones are joined.
 BROADCAST_GRAMS = 3_000_000
 #: Copies of such a joined table, among which an n-gram's documents are dealt.
