@@ -49,17 +49,19 @@ def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float = 0.8) -
     ga, gb = _grams(left, "a"), _grams(right, "b")
     often = ga.select("g").unionAll(gb.select("g")).groupBy("g").agg(F.count("*").alias("n"))
 
-    def rare(grams: DataFrame, key: str) -> DataFrame:
+    all_a, all_b = _by_rarity(ga, "a", often), _by_rarity(gb, "b", often)
+
+    def rare(listed: DataFrame, key: str) -> DataFrame:
         n = F.length(key)
         must = F.floor(slope * (n + F.ceil(n * within)) - 1 + 1e-9) + 1
         keep = F.size("grams_" + key) - F.greatest(must, F.lit(1)).cast("int") + 1
-        r = _by_rarity(grams, key, often)
-        return r.select(key, "grams_" + key, F.explode(F.slice("grams_" + key, F.lit(1), F.greatest(keep, F.lit(1)))).alias("g"))
+        return listed.select(key, F.explode(F.slice("grams_" + key, F.lit(1), F.greatest(keep, F.lit(1)))).alias("g"))
 
     la, lb = F.length("a"), F.length("b")
-    met = rare(ga, "a").join(rare(gb, "b"), "g").where((F.col("a") != F.col("b")) & (F.least(la, lb) >= F.greatest(la, lb) * within - 1e-9))
+    met = rare(all_a, "a").join(rare(all_b, "b"), "g").where((F.col("a") != F.col("b")) & (F.least(la, lb) >= F.greatest(la, lb) * within - 1e-9))
+    # each pair is counted once, however many rare bigrams it met by
     shared = F.size(F.array_intersect("grams_a", "grams_b"))
-    near = met.where(shared > slope * (la + lb) - 1 - 1e-9).select("a", "b").distinct()
+    near = met.select("a", "b").distinct().join(all_a, "a").join(all_b, "b").where(shared > slope * (la + lb) - 1 - 1e-9).select("a", "b")
     inside = containing(left.select(F.col("a").alias("term")), right.select(F.col("b").alias("text"))).select(F.col("term").alias("a"), F.col("text").alias("b"))
     around = containing(right.select(F.col("b").alias("term")), left.select(F.col("a").alias("text"))).select(F.col("text").alias("a"), F.col("term").alias("b"))
     return near.unionByName(inside).unionByName(around).where("a <> b").distinct()
@@ -92,12 +94,15 @@ def key_scores(left: DataFrame, right: DataFrame, threshold: float = 0.8, fuzzy:
     equal = left.join(right, F.col("a") == F.col("b")).select("a", "b", F.lit(1.0).alias("score"))
     pairs = candidate_pairs(left, right, threshold)
     inside = F.col("a").contains(F.col("b")) | F.col("b").contains(F.col("a"))
+    score = F.when(inside, F.lit(0.9))
     if fuzzy:
-        pairs = pairs.withColumn("r", kernels.ratio(F.col("a"), F.col("b")))
-        near = F.when(F.col("r") > threshold, F.col("r"))
-        score = F.greatest(F.when(inside, F.lit(0.9)), near)
-    else:
-        score = F.when(inside, F.lit(0.9))
+        # a contained key is the one matching block, so its ratio needs no comparison (but for difflib's
+        # shortcuts on long strings)
+        whole = inside & (F.length("b") < 200)
+        asked = [F.when(whole, F.lit("")).otherwise(F.col(k)) for k in ("a", "b")]
+        pairs = pairs.withColumn("_ratio", kernels.ratio(*asked))
+        r = F.when(whole, 2.0 * F.least(F.length("a"), F.length("b")) / (F.length("a") + F.length("b"))).otherwise(F.col("_ratio"))
+        score = F.greatest(score, F.when(r > threshold, r))
     return equal.unionByName(pairs.select("a", "b", score.alias("score")).where("score is not null"))
 
 
