@@ -24,7 +24,7 @@ from rosterforge.llm.common import cut
 from rosterforge.llm.encoding import WordEncoder
 
 #: Pieces ranked together at most, on average.
-RANKED = 50_000
+RANKED = 5_000
 #: Steps of the local search; each treats all equal bins at once.
 STEPS = 400
 
@@ -171,10 +171,11 @@ def _places(bins: dict[Bin, int]) -> dict[str, np.ndarray]:
 
 def pack(found: DataFrame, capacity: int, order: list[str], length: str = "length") -> DataFrame:
     """``found`` (its pieces; lengths from 1 to ``capacity``) with ``sequence_id`` and
-    ``offset``: gapless from 0 in every sequence.
+    ``offset``: gapless from 0 in every sequence; columns of these names are replaced.
 
     Pieces equal in all of ``order`` are interchangeable.  Ranks are counted
     within hashed parts of each length, so no length is ever in one task."""
+    kept = [c for c in found.columns if c not in ("sequence_id", "offset")]
     found = cut(found)
     counts = {r[length]: r["n"] for r in found.groupBy(length).agg(F.count("*").alias("n")).collect()}
     bins = local_search(best_fit(counts, capacity), capacity)
@@ -192,4 +193,4 @@ def pack(found: DataFrame, capacity: int, order: list[str], length: str = "lengt
         i, k = rank.to_numpy() - places["rank"][at], places["k"][at]
         return pd.DataFrame({"sequence_id": places["bin"][at] + i // k, "offset": places["offset"][at] + i % k * size.to_numpy()})
 
-    return ranked.withColumn("_at", place(F.col(length), F.col("_rank"))).select(*found.columns, "_at.sequence_id", "_at.offset")
+    return ranked.withColumn("_at", place(F.col(length), F.col("_rank"))).select(*kept, "_at.sequence_id", "_at.offset")
