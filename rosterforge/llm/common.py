@@ -12,8 +12,15 @@ from pyspark.sql import functions as F
 SPACE = "[\\x20\\x09-\\x0D]"
 
 
+#: Rows of whole texts that pass between Spark and Python at a time.  Both hold a batch
+#: outside the executor's heap, so this bounds what a task needs beside it.
+BATCH_ROWS = 1_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table, read by Spark so that any store works."""
+    """One input table, read by Spark so that any store works.  Sets the session's
+    Arrow batches to ``BATCH_ROWS``: the default suits rows of numbers, not of texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -29,7 +29,7 @@ def losses(grams: DataFrame) -> DataFrame:
     scale = total["t"] / total["b"] if total["b"] else 0.0
     tables = {ORDER: grams.select("gram", F.col("target").cast("double").alias("t"), (F.col("background") * scale).alias("b"))}
     for k in range(ORDER - 1, 0, -1):
-        tables[k] = tables[k + 1].groupBy(shorter(F.col("gram"), k).alias("gram")).agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+        tables[k] = cut(tables[k + 1].groupBy(shorter(F.col("gram"), k).alias("gram")).agg(F.sum("t").alias("t"), F.sum("b").alias("b")))
     vocabulary = max(1, tables[1].count())
     below = None
     for k in range(1, ORDER + 1):
@@ -41,7 +41,7 @@ def losses(grams: DataFrame) -> DataFrame:
         else:
             here = here.join(below, "low")
         p = {m: (F.col(m) + PRIOR * F.col(f"p_{m}")) / (F.col(f"all_{m}") + PRIOR) for m in ("t", "b")}
-        below = here.select(F.col("gram").alias("low"), p["t"].alias("p_t"), p["b"].alias("p_b"))
+        below = cut(here.select(F.col("gram").alias("low"), p["t"].alias("p_t"), p["b"].alias("p_b")))
     return below.select(F.col("low").alias("gram"), (-F.log("p_t")).alias("target_loss"), (-F.log("p_b")).alias("background_loss"))
 
 
@@ -55,7 +55,7 @@ def score(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "
     few = ids.count() <= BROADCAST_IDS
     marked = docs.select(key, text).join(F.broadcast(ids) if few else ids, key, "left")
     grams = cut(counts(marked, F.col(text), {"target": F.col("_in"), "background": F.lit(True)}))
-    known = cut(losses(grams))
+    known = losses(grams)
     sums = document_sums(docs, key, text, [], known, ["target_loss", "background_loss"])
     mean = {m: F.when(F.col("units") > 0, F.round(F.col(m) / F.col("units"), 6)) for m in ("target_loss", "background_loss")}
     return sums.select(key, F.col("units").alias("tokens"), mean["target_loss"].alias("target_loss"), mean["background_loss"].alias("background_loss")).withColumn(
