@@ -24,7 +24,7 @@ LEAST_TOKENS = 3
 #: Share of a template's tokens that must be constant.
 CONSTANT = 0.6
 FIELD = "<*>"
-#: Leaves up to which they are broadcast to the scan (8 bytes each).
+#: Leaves and templates up to which they are broadcast (some dozens of bytes each).
 BROADCAST_LEAVES = 1_000_000
 
 
@@ -77,6 +77,8 @@ def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", texts: i
     there = found.select("leaf", "id", "_key", "_row", "pos").join(often, ["leaf", "id"])
     place = F.struct(F.col("_key").isNull().alias("null"), F.col("_key"), F.col("_row"), F.col("pos"))
     first = there.groupBy("template").agg(F.min(place).alias("first"))
+    # one row per template: small beside the lines, so a very common template's need not meet in one task
+    first = F.broadcast(first) if often.select("template").distinct().count() <= BROADCAST_LEAVES else first
     late = there.join(first, "template").where((F.col("_row") != F.col("first._row")) | (F.col("pos") != F.col("first.pos")))
     return late.select("_row", "pos")
 
