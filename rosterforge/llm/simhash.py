@@ -28,22 +28,30 @@ BITS = 64
 RADIUS = 2
 
 
-def text_fingerprint(text: str | None, words: int) -> int:
-    """Signed 64-bit SimHash of a text's word shingles, repeats included."""
+def shingles(text: str | None, words: int) -> np.ndarray:
+    """Hashes (uint64) of a text's word shingles in order; a shorter text is one shingle."""
     w = text.encode().lower().split() if text else ()  # bytes: A-Z and ASCII space only
     if not w:
-        return 0
+        return np.empty(0, np.uint64)
     buf, n = b" ".join(w), len(w)
     if n <= words:
-        return int(np.uint64(xxhash.xxh64_intdigest(buf, 42)).astype(np.int64))
+        return np.asarray([xxhash.xxh64_intdigest(buf, 42)], np.uint64)
     ends = np.cumsum([len(x) + 1 for x in w]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     digest, last = xxhash.xxh64_intdigest, n - words + 1
-    h = np.fromiter(
+    return np.fromiter(
         (digest(buf[a:b], 42) for a, b in zip(starts[:last].tolist(), ends[words - 1 :].tolist(), strict=True)),
         np.uint64,
         last,
     )
+
+
+def text_fingerprint(text: str | None, words: int) -> int:
+    """Signed 64-bit SimHash of a text's word shingles, repeats included."""
+    h = shingles(text, words)
+    last = len(h)
+    if not last:
+        return 0
     ones = np.zeros(BITS, np.int64)
     for part in range(0, last, 65536):  # bounds the unpacked bits of very long texts
         ones += np.unpackbits(h[part : part + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
