@@ -123,3 +123,13 @@ def test_odd_rows(spark, make, odd):
         assert lm_scoring.score(make([]), target).count() == 0 and kneser_ney.classify(make([]), target).count() == 0
     labels = spark.createDataFrame([(i, i % 2, None) for i in range(50)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
     assert kneser_ney.trusted_ids(labels, 10).count() == 10 and kneser_ney.trusted_ids(labels).count() == 25
+
+
+def test_copies_of_one_text_do_not_move_the_threshold(spark, make, prose):
+    texts = prose(23, 40, 5, 25)
+    trusted = spark.range(0, 20).withColumnRenamed("id", "doc_id")
+    rows = [(i, t, "de") for i, t in enumerate(texts)]
+    copies = [(1000 + i, texts[3], "de") for i in range(150)]
+    alone, skewed = ({r.doc_id: (r.threshold, r.keep) for r in kneser_ney.classify(make(x), trusted).collect()} for x in (rows, [*rows, *copies]))
+    assert all(skewed[i] == alone[i] for i in range(40))
+    assert {skewed[1000 + i] for i in range(150)} == {alone[3]} and sum(k for _, k in alone.values()) >= 38
