@@ -10,6 +10,8 @@ dropped but for their first occurrence.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ from rosterforge.llm.common import cut, row_key
 
 #: Distinct texts in which a template recurs.  Exact copies of a document are one text.
 TEXTS = 10
+#: For the pipeline: distinct texts by the constant tokens that a template has at least.  What
+#: fixes much is a copy wherever it recurs; what fixes little must recur more often.
+LEVELS = ((TEXTS, 0), (2, 40))
 #: Leading tokens that the tree looks at.
 DEPTH = 3
 #: Shorter lines are left alone.
@@ -34,7 +39,7 @@ def _masked(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.regexp_replace(line, f"{word}(?:[0-9]{word})++", FIELD)).otherwise(line)
 
 
-def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _lines(docs: DataFrame, key: str, text: str, least: int = LEAST_TOKENS) -> DataFrame:
     """One row per line: ``_key, _row, _same`` (of the text), ``pos``, ``line`` (single spaces), ``leaf``.
 
     Only a line's head is looked at here; its tokens are split where its leaf recurs."""
@@ -44,16 +49,17 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = rows.withColumn("line", F.trim("line"))
     n = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     leaf = F.xxhash64(n, _masked(F.substring_index("line", " ", DEPTH)))
-    return rows.where(n >= LEAST_TOKENS).select("_key", "_row", "_same", "pos", "line", leaf.alias("leaf"))
+    return rows.where(n >= least).select("_key", "_row", "_same", "pos", "line", leaf.alias("leaf"))
 
 
-def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", texts: int = TEXTS) -> DataFrame:
-    """The lines to drop: ``_row`` (the row's key) and ``pos``.
+def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", texts: int = TEXTS, fixed: int = 0) -> DataFrame:
+    """The lines to drop: ``_row`` (the row's key) and ``pos``; only templates of at
+    least ``fixed`` constant tokens count.
 
     Only lines in leaves of at least ``texts`` distinct texts are kept in
     memory or shuffled with their tokens; equal lines are one row with a count
     from then on."""
-    lines = _lines(docs, key, text)
+    lines = _lines(docs, key, text, max(LEAST_TOKENS, fixed))
     leaves = lines.select("leaf", "_same").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= texts)
     leaves = cut(leaves.select("leaf"))
     few = leaves.count() <= BROADCAST_LEAVES
@@ -68,9 +74,10 @@ def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", texts: i
     slots = slots.groupBy("leaf", "id").agg(
         F.first("n").alias("n"),
         F.avg(F.coalesce("one", F.lit(0))).alias("constant"),
+        F.count("one").alias("fixed"),
         F.array_sort(F.collect_list(F.struct("at", F.when(F.col("one") == 1, F.col("word")).otherwise(FIELD).alias("word")))).alias("slots"),
     )
-    slots = slots.where(F.col("constant") >= CONSTANT).select("leaf", "id", "n", F.xxhash64("leaf", F.col("slots.word")).alias("template"))
+    slots = slots.where((F.col("constant") >= CONSTANT) & (F.col("fixed") >= fixed)).select("leaf", "id", "n", F.xxhash64("leaf", F.col("slots.word")).alias("template"))
     often = slots.groupBy("template").agg(F.sum("n").alias("all")).where(F.col("all") >= texts).select("template")
     often = cut(slots.join(often, "template").select("leaf", "id", "template"))
 
@@ -83,14 +90,19 @@ def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", texts: i
     return late.select("_row", "pos")
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", texts: int = TEXTS) -> DataFrame:
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", texts: int = TEXTS, levels: tuple[tuple[int, int], ...] | None = None) -> DataFrame:
     """``docs`` with ``text`` without its recurring lines, ``n_lines`` and ``n_dropped`` (long).
 
     Every row stays, if with an empty text; null texts stay null with no lines.
     Blank and short lines stay.  Of a template, the occurrence in the smallest
     key (nulls last, then the row's hash, then the line) stays; fully equal rows
-    are treated alike.  An empty table gives no rows."""
-    gone = recurring(docs, key, text, texts).groupBy("_row").agg(F.collect_set("pos").alias("_gone"))
+    are treated alike.  An empty table gives no rows.
+
+    ``levels`` instead of ``texts`` are pairs of texts and constant tokens; a line
+    goes if one of them drops it.  A level with fewer texts has finer templates, each
+    within one of the coarser level's, so the first of a coarse one is never lost."""
+    found = [recurring(docs, key, text, *level) for level in levels or ((texts, 0),)]
+    gone = reduce(DataFrame.unionAll, found).groupBy("_row").agg(F.collect_set("pos").alias("_gone"))
     kept = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("_gone", i))
     out = docs.withColumn("_row", row_key(key, text)).join(gone, "_row", "left")
     return out.withColumns(

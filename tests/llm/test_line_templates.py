@@ -1,6 +1,8 @@
 import re
 from collections import defaultdict
 
+import corpus_pipeline as pipeline
+
 from rosterforge.llm import line_templates as lt
 
 
@@ -66,3 +68,11 @@ def test_odd_rows(spark, make, odd):
 def test_the_main_path_is_native(spark, make, prose):
     plan = lt.dedup(make([(i, t) for i, t in enumerate(prose(1, 5))]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_the_pipeline_drops_a_long_passage_of_two_documents(spark, make, prose):
+    passage, short = prose(13, 1, 55, 55)[0], "a short line in two documents"
+    rows = [(i, "\n".join([t, passage, short]) if i in (2, 5) else t) for i, t in enumerate(prose(14, 12, 60, 60))]
+    got = {r.doc_id: r.text for r in pipeline.lines(spark, make(rows), "").collect()}
+    assert [i for i, t in got.items() if passage in t] == [2]
+    assert all(short in got[i] for i in (2, 5)) and all(got[i].split("\n")[0] == t.split("\n")[0] for i, t in rows)
