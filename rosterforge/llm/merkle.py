@@ -2,8 +2,8 @@
 
 Paragraphs are lines.  A section ends at a blank line or at a paragraph whose
 own digest says so, hence an edit moves no section borders but its own.
-Within a paragraph the leaves are spans of up to ``SPAN`` code points (``FINE`` in
-short texts) that end at sentence ends.  Roots test equality; the short leaf digests that a
+Within a paragraph the leaves are spans of up to ``SPAN`` code points that
+end at sentence ends, in texts of any length.  Roots test equality; the short leaf digests that a
 fingerprint carries show how much two texts share and where they differ.
 """
 
@@ -19,13 +19,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Code points of a span at most; short texts, of up to so many code points, have finer spans.
-SPAN, SHORT_TEXT, FINE = 48, 256, 8
+#: Code points of a span at most.
+SPAN = 8
 #: Hex digits of a leaf in a fingerprint.
 SHORT = 6
 #: One paragraph in so many ends a section.
 SECTION = 8
-COARSE_SPANS, FINE_SPANS = (re.compile(f"[^.!?]{{1,{n}}}[.!?]*|[.!?]{{1,{n}}}") for n in (SPAN, FINE))
+SPANS = re.compile(f"[^.!?]{{1,{SPAN}}}[.!?]*|[.!?]{{1,{SPAN}}}")
 
 
 def fingerprint(text: str | None) -> str:
@@ -36,9 +36,8 @@ def fingerprint(text: str | None) -> str:
     roots: list[bytes] = []
     shorts: list[str] = []
     nodes: list[bytes] = []
-    spans = (FINE_SPANS if len(text or "") <= SHORT_TEXT else COARSE_SPANS).findall
     for line in text.split("\n") if text else ():
-        leaves = [sha256(x.encode()).digest() for x in spans(line)]
+        leaves = [sha256(x.encode()).digest() for x in SPANS.findall(line)]
         node = sha256(b"\1" + b"".join(leaves)).digest()
         shorts.append("".join([x[: SHORT // 2].hex() for x in leaves]))
         nodes.append(node)

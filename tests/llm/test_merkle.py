@@ -54,3 +54,9 @@ def test_edited_texts(spark, make, prose, odd):
 def test_repeated_rows_and_no_rows(spark, make, odd):
     assert merkle.compare_edited(make(odd)).count() == len(odd)
     assert merkle.compare_edited(make([])).count() == 0
+
+
+def test_texts_on_either_side_of_any_length_are_alike(prose):
+    text = prose(9, 1, 80, 80)[0]
+    for n in (64, 128, 256, 257, 300):
+        assert merkle.likeness(merkle.fingerprint(text[:n]), merkle.fingerprint(text[: n - 1])) > 0.8
