@@ -20,8 +20,8 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexities of all documents, and which are kept."""
-    trusted = kneser_ney.trusted_ids(table(spark, sf_dir, "labels"))
-    return kneser_ney.classify(table(spark, sf_dir, "documents"), trusted)
+    labels = table(spark, sf_dir, "labels")
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), kneser_ney.trusted_ids(labels), good=kneser_ney.good_ids(labels))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
