@@ -10,9 +10,10 @@ bins; the pieces find their place by their rank.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from functools import cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -25,9 +26,6 @@ from rosterforge.llm.encoding import WordEncoder
 
 #: Pieces ranked together at most, on average.
 RANKED = 5_000
-#: Steps of the local search; each treats all equal bins at once.
-STEPS = 400
-
 
 @cache
 def encoder(path: str) -> WordEncoder:
@@ -35,7 +33,6 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-
 Bin = tuple[tuple[int, int], ...]  # (length, how many), longest first
 
 
@@ -106,49 +103,109 @@ def _changed(items: Bin, out: tuple[int, ...], new: tuple[int, ...]) -> Bin:
     return tuple((x, k) for x, k in sorted(n.items(), reverse=True) if k)
 
 
-def local_search(bins: dict[Bin, int], capacity: int, steps: int = STEPS) -> dict[Bin, int]:
+def _offers(items: Bin) -> tuple[dict[int, tuple[int, ...]], dict[int, tuple[int, ...]]]:
+    """What a bin can give away, by size: single items, and pairs."""
+    own = [x for x, _ in items]
+    pairs = {x + y: (x, y) for i, (x, k) in enumerate(items) for y in own[i if k > 1 else i + 1 :]}
+    return {x: (x,) for x in own}, pairs
+
+
+def local_search(bins: dict[Bin, int], capacity: int) -> dict[Bin, int]:
     """Empties the least filled bins: an item moves, one is exchanged for a smaller
-    one, or two for one, always to a fuller bin with room, so that the sum of
-    squared fills rises.  Ends at the least number of bins that the total allows,
-    where no step is left, or after ``steps``."""
+    one, or two for one, always to a bin as full or fuller that has room, so that the
+    sum of squared fills rises.  Of all such steps of a bin the one that moves most is
+    taken, for all equal bins at once.  Ends at the least number of bins that the
+    total allows, or where no bin has a step left.
+
+    By the length of an item that may come back (0: none), bins are sorted by their
+    free space, so a step is found by one look at each length.  A bin without a step is
+    looked at again only when a new kind of bin accepts what it offers."""
     bins = dict(bins)
     fill = {b: sum(x * k for x, k in b) for b in bins}
+    count = sum(bins.values())
     least = -(-sum(fill[b] * n for b, n in bins.items()) // capacity)
-    for _ in range(steps):
-        if sum(bins.values()) <= least:
-            break
-        under = sorted((b for b in bins if fill[b] < capacity), key=fill.__getitem__)
-        step = None
-        for a in under[:8]:
-            own = [x for x, _ in a]
-            twice = [(x, y) for i, x in enumerate(own) for y in own[i:] if x != y or dict(a)[x] > 1]
-            gives = [((x,), x) for x in own] + [((x, y), x + y) for x, y in twice]
-            best = 0
-            for b in under:
-                if b == a and bins[a] < 2 or fill[b] < fill[a]:
-                    continue
-                space = capacity - fill[b]
-                for out, size in gives:
-                    takes = [((), 0)] * (len(out) == 1) + [((y,), y) for y, _ in b]
-                    for back, less in takes:
-                        if best < size - less <= space:
-                            best, step = size - less, (a, b, out, back)
-                if best == space:
-                    break
-            if step:
-                break
+    by_space: dict[int, list[tuple[int, Bin]]] = {}
+    stuck: dict[Bin, tuple[int, int]] = {}  # sizes on offer as bits: singles, pairs
+    active = [(fill[b], b) for b in bins if fill[b] < capacity]
+    heapify(active)
+
+    def shown(b: Bin) -> list[int]:
+        return [0, *[x for x, _ in b]]
+
+    for space, b in sorted((capacity - f, b) for f, b in active):
+        for y in shown(b):
+            by_space.setdefault(y, []).append((space, b))
+
+    def take(b: Bin, n: int) -> None:
+        bins[b] -= n
+        if not bins[b]:
+            del bins[b]
+            stuck.pop(b, None)
+            for y in shown(b):
+                kinds = by_space[y]
+                del kinds[bisect_left(kinds, (capacity - fill[b], b))]
+
+    def put(b: Bin, n: int) -> None:
+        bins[b] = bins.get(b, 0) + n
+        fill[b] = f = sum(x * k for x, k in b)
+        if f == capacity:
+            return
+        if bins[b] == n:
+            for y in shown(b):
+                insort(by_space.setdefault(y, []), (capacity - f, b))
+        stuck.pop(b, None)
+        heappush(active, (f, b))
+        # sizes it accepts: for an item of y, more than y and at most y and its space
+        runs = [((1 << capacity - f) - 1) << y + 1 for y in shown(b)]
+        back = 0
+        for r in runs[1:]:
+            back |= r
+        for a in [a for a, (one, two) in stuck.items() if fill[a] <= f and (one & (back | runs[0]) or two & back)]:
+            del stuck[a]
+            heappush(active, (fill[a], a))
+
+    while active and count > least:
+        f, a = heappop(active)
+        if a not in bins or a in stuck:
+            continue
+        ys, spaces, kinds = [], [], []
+        for y in sorted(by_space):
+            of = by_space[y]
+            i = bisect_right(of, capacity - f, key=lambda x: x[0]) - 1
+            if i >= 0 and of[i][1] == a and bins[a] == 1:
+                i -= 1
+            if i >= 0:
+                ys.append(y)
+                spaces.append(of[i][0])
+                kinds.append(of[i][1])
+        one, two = _offers(a)
+        best, step = 0, None
+        for offers, low in ((one, 0), (two, 1)):
+            at = bisect_left(ys, low)
+            if not offers or at == len(ys):
+                continue
+            sizes, y = np.asarray(list(offers)), np.asarray(ys[at:])
+            fits = (y < sizes[:, None]) & (sizes[:, None] <= y + np.asarray(spaces[at:]))
+            first = fits.argmax(1)  # the least item that may come back moves most
+            moved = np.where(fits.any(1), sizes - y[first], 0)
+            if moved.max() > best:
+                i = int(moved.argmax())
+                j = at + int(first[i])
+                best, step = int(moved[i]), (kinds[j], offers[int(sizes[i])], (ys[j],) if ys[j] else ())
         if step is None:
-            break
-        a, b, out, back = step
+            stuck[a] = sum(1 << x for x in one), sum(1 << x for x in two)
+            continue
+        b, out, back = step
         n = bins[a] // 2 if a == b else min(bins[a], bins[b])
-        for old in (a, b):
-            bins[old] -= n
-            if not bins[old]:
-                del bins[old]
-        for new in (_changed(a, out, back), _changed(b, back, out)):
+        take(a, n)
+        take(b, n)
+        if a in bins:
+            heappush(active, (f, a))
+        left = _changed(a, out, back)
+        count -= 0 if left else n
+        for new in (left, _changed(b, back, out)):
             if new:
-                bins[new] = bins.get(new, 0) + n
-                fill[new] = sum(x * k for x, k in new)
+                put(new, n)
     return bins
 
 

@@ -60,6 +60,29 @@ def test_local_search_empties_bins_by_exchanges():
     assert sum(found.values()) == 6 and all(f == 10 for f in fill(found).values())
 
 
+def steps_left(bins, capacity):
+    """All moves and exchanges, by trying each pair of bins."""
+    for a in bins:
+        for b in bins:
+            if a == b and bins[a] < 2 or fill(bins)[b] < fill(bins)[a]:
+                continue
+            space = capacity - fill(bins)[b]
+            own = [x for x, k in a for _ in range(k)]
+            ones, twos = own, [own[i] + own[j] for i in range(len(own)) for j in range(i)]
+            backs = [y for y, _ in b]
+            if any(0 < x - y <= space for x in ones for y in [0, *backs]) or any(0 < x - y <= space for x in twos for y in backs):
+                return True
+    return False
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(15, 60), min_size=5, max_size=60))
+def test_the_search_ends_only_where_no_step_is_left(lengths):
+    counts = {x: lengths.count(x) for x in lengths}
+    found = packing.local_search(packing.best_fit(counts, 100), 100)
+    assert sum(found.values()) == -(-sum(lengths) // 100) or not steps_left(found, 100)
+
+
 def check(rows, capacity):
     by = defaultdict(list)
     for r in rows:
