@@ -5,27 +5,36 @@ leading tokens (tokens with a digit count as one variable field).  Within a
 leaf a token is constant if it stands at its position in lines of enough
 distinct texts, else variable; a line's template is its constants with the
 variable fields left open.  Templates that recur in enough distinct texts are
-dropped but for their first occurrence.
+dropped but for their first occurrence.  How many are enough falls with what a
+template fixes (``LEVELS``).
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterforge.llm.common import cut, row_key
 
-#: Distinct texts in which a template recurs.  Exact copies of a document are one text.
-TEXTS = 10
-#: For the pipeline: distinct texts by the constant tokens that a template has at least.  What
-#: fixes much is a copy wherever it recurs; what fixes little must recur more often.
-LEVELS = ((TEXTS, 0), (2, 40))
+
+class Level(NamedTuple):
+    """``texts`` distinct texts make a template of lines with ``least`` to ``most`` tokens
+    recur, if it has at least ``fixed`` constant tokens.  Exact copies are one text."""
+
+    texts: int
+    least: int
+    most: int
+    fixed: int
+
+
+MOST = 1 << 30
+#: A line of one or two words recurs by chance; one that fixes 40 words is a copy wherever it recurs.
+LEVELS = (Level(50, 1, 2, 0), Level(10, 3, MOST, 0), Level(2, 40, MOST, 40))
 #: Leading tokens that the tree looks at.
 DEPTH = 3
-#: Shorter lines are left alone.
-LEAST_TOKENS = 3
 #: Share of a template's tokens that must be constant.
 CONSTANT = 0.6
 FIELD = "<*>"
@@ -39,76 +48,87 @@ def _masked(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.regexp_replace(line, f"{word}(?:[0-9]{word})++", FIELD)).otherwise(line)
 
 
-def _lines(docs: DataFrame, key: str, text: str, least: int = LEAST_TOKENS) -> DataFrame:
-    """One row per line: ``_key, _row, _same`` (of the text), ``pos``, ``line`` (single spaces), ``leaf``.
+def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """One row per line that is not blank: ``_key, _row, _same`` (of the text), ``pos``,
+    ``line`` (single spaces), ``n`` (tokens), ``leaf``.
 
     Only a line's head is looked at here; its tokens are split where its leaf recurs."""
     spaces = "[\\x20\\x09\\x0B-\\x0D]+"
     even = F.when(F.col(text).rlike("[\\x09\\x0B-\\x0D]|  "), F.regexp_replace(text, spaces, " ")).otherwise(F.col(text))
     rows = docs.select(F.col(key).alias("_key"), row_key(key, text).alias("_row"), F.xxhash64(text).alias("_same"), F.posexplode(F.split(even, "\n")).alias("pos", "line"))
-    rows = rows.withColumn("line", F.trim("line"))
-    n = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    leaf = F.xxhash64(n, _masked(F.substring_index("line", " ", DEPTH)))
-    return rows.where(n >= least).select("_key", "_row", "_same", "pos", "line", leaf.alias("leaf"))
+    rows = rows.withColumn("line", F.trim("line")).where("line <> ''")
+    rows = rows.withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
+    return rows.withColumn("leaf", F.xxhash64("n", _masked(F.substring_index("line", " ", DEPTH))))
 
 
-def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", texts: int = TEXTS, fixed: int = 0) -> DataFrame:
-    """The lines to drop: ``_row`` (the row's key) and ``pos``; only templates of at
-    least ``fixed`` constant tokens count.
+def _of(level: Level, by: str) -> Column:
+    return (F.col("n") >= level.least) & (F.col("n") <= level.most) & (F.col(by) >= level.texts)
 
-    Only lines in leaves of at least ``texts`` distinct texts are kept in
-    memory or shuffled with their tokens; equal lines are one row with a count
-    from then on."""
-    lines = _lines(docs, key, text, max(LEAST_TOKENS, fixed))
-    leaves = lines.select("leaf", "_same").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= texts)
-    leaves = cut(leaves.select("leaf"))
-    few = leaves.count() <= BROADCAST_LEAVES
-    found = lines.join(F.broadcast(leaves) if few else leaves, "leaf").withColumn("tokens", F.split(_masked(F.col("line")), " "))
-    found = cut(found.drop("line").withColumn("id", F.xxhash64("tokens")))
 
-    kinds = found.select("leaf", "id", "tokens", "_same").distinct().groupBy("leaf", "id").agg(F.first("tokens").alias("tokens"), F.count("*").alias("n"))
-    kinds = cut(kinds)
-    words = kinds.select("leaf", "id", "n", F.posexplode("tokens").alias("at", "word"))
-    held = words.groupBy("leaf", "at", "word").agg(F.sum("n").alias("by")).where((F.col("by") >= texts) & (F.col("word") != FIELD))
+def _templates(kinds: DataFrame, level: Level) -> DataFrame:
+    """``leaf, id, template`` of the kinds of lines whose template recurs on this level."""
+    words = kinds.where(_of(level, "leaf_texts")).select("leaf", "id", "texts", F.posexplode("tokens").alias("at", "word"))
+    held = words.groupBy("leaf", "at", "word").agg(F.sum("texts").alias("by")).where((F.col("by") >= level.texts) & (F.col("word") != FIELD))
     slots = words.join(held.select("leaf", "at", "word", F.lit(1).alias("one")), ["leaf", "at", "word"], "left")
     slots = slots.groupBy("leaf", "id").agg(
-        F.first("n").alias("n"),
+        F.first("texts").alias("texts"),
         F.avg(F.coalesce("one", F.lit(0))).alias("constant"),
         F.count("one").alias("fixed"),
         F.array_sort(F.collect_list(F.struct("at", F.when(F.col("one") == 1, F.col("word")).otherwise(FIELD).alias("word")))).alias("slots"),
     )
-    slots = slots.where((F.col("constant") >= CONSTANT) & (F.col("fixed") >= fixed)).select("leaf", "id", "n", F.xxhash64("leaf", F.col("slots.word")).alias("template"))
-    often = slots.groupBy("template").agg(F.sum("n").alias("all")).where(F.col("all") >= texts).select("template")
-    often = cut(slots.join(often, "template").select("leaf", "id", "template"))
+    slots = slots.where((F.col("constant") >= CONSTANT) & (F.col("fixed") >= level.fixed)).select("leaf", "id", "texts", F.xxhash64("leaf", F.col("slots.word")).alias("template"))
+    often = slots.groupBy("template").agg(F.sum("texts").alias("all")).where(F.col("all") >= level.texts).select("template")
+    return cut(slots.join(often, "template").select("leaf", "id", "template"))
+
+
+def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", levels: tuple[Level, ...] = LEVELS) -> DataFrame:
+    """The lines to drop: ``_row`` (the row's key) and ``pos``, perhaps more than once.
+
+    Two passes read the texts.  Only lines in leaves of enough distinct texts are kept in
+    memory or shuffled with their tokens; equal lines are one row with a count
+    from then on."""
+    lines = _lines(docs, key, text)
+    leaves = lines.select("leaf", "n", "_same").distinct().groupBy("leaf", "n").agg(F.count("*").alias("leaf_texts"))
+    leaves = cut(leaves.where(reduce(Column.__or__, [_of(x, "leaf_texts") for x in levels])).select("leaf", "leaf_texts"))
+    few = leaves.count() <= BROADCAST_LEAVES
+    found = lines.join(F.broadcast(leaves) if few else leaves, "leaf").withColumn("tokens", F.split(_masked(F.col("line")), " "))
+    found = cut(found.drop("line").withColumn("id", F.xxhash64("tokens")))
+    of_text = found.select("leaf", "n", "leaf_texts", "id", "tokens", "_same").distinct()
+    kinds = cut(of_text.groupBy("leaf", "n", "leaf_texts", "id").agg(F.first("tokens").alias("tokens"), F.count("*").alias("texts")))
+
+    def late(often: DataFrame) -> DataFrame:
+        there = found.select("leaf", "id", "_key", "_row", "pos").join(often, ["leaf", "id"])
+        place = F.struct(F.col("_key").isNull().alias("null"), F.col("_key"), F.col("_row"), F.col("pos"))
+        first = there.groupBy("template").agg(F.min(place).alias("first"))
+        # one row per template: small beside the lines, so a very common template's need not meet in one task
+        first = F.broadcast(first) if often.select("template").distinct().count() <= BROADCAST_LEAVES else first
+        return there.join(first, "template").where((F.col("_row") != F.col("first._row")) | (F.col("pos") != F.col("first.pos"))).select("_row", "pos")
+
+    return reduce(DataFrame.unionAll, [late(_templates(kinds, x)) for x in levels])
+
 
-    there = found.select("leaf", "id", "_key", "_row", "pos").join(often, ["leaf", "id"])
-    place = F.struct(F.col("_key").isNull().alias("null"), F.col("_key"), F.col("_row"), F.col("pos"))
-    first = there.groupBy("template").agg(F.min(place).alias("first"))
-    # one row per template: small beside the lines, so a very common template's need not meet in one task
-    first = F.broadcast(first) if often.select("template").distinct().count() <= BROADCAST_LEAVES else first
-    late = there.join(first, "template").where((F.col("_row") != F.col("first._row")) | (F.col("pos") != F.col("first.pos")))
-    return late.select("_row", "pos")
+def _without(lines: Column, gone: Column) -> Column:
+    """An array without the items at the sorted positions ``gone``: the stretches between them."""
+    ends = F.concat(F.array(F.lit(-1)), gone, F.array(F.size(lines)))
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), lambda i: F.slice(lines, F.get(ends, i) + 2, F.get(ends, i + 1) - F.get(ends, i) - 1)))
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", texts: int = TEXTS, levels: tuple[tuple[int, int], ...] | None = None) -> DataFrame:
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", levels: tuple[Level, ...] = LEVELS) -> DataFrame:
     """``docs`` with ``text`` without its recurring lines, ``n_lines`` and ``n_dropped`` (long).
 
     Every row stays, if with an empty text; null texts stay null with no lines.
-    Blank and short lines stay.  Of a template, the occurrence in the smallest
-    key (nulls last, then the row's hash, then the line) stays; fully equal rows
-    are treated alike.  An empty table gives no rows.
-
-    ``levels`` instead of ``texts`` are pairs of texts and constant tokens; a line
-    goes if one of them drops it.  A level with fewer texts has finer templates, each
-    within one of the coarser level's, so the first of a coarse one is never lost."""
-    found = [recurring(docs, key, text, *level) for level in levels or ((texts, 0),)]
-    gone = reduce(DataFrame.unionAll, found).groupBy("_row").agg(F.collect_set("pos").alias("_gone"))
-    kept = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("_gone", i))
+    Blank lines stay.  Of a template, the occurrence in the smallest key (nulls last,
+    then the row's hash, then the line) stays; fully equal rows are treated alike.  An
+    empty table gives no rows.  A line goes if one of the levels drops it.  A level with
+    fewer texts has finer templates, each within one of the coarser level's, so the first
+    of a coarse one is never lost."""
+    gone = recurring(docs, key, text, levels).groupBy("_row").agg(F.sort_array(F.collect_set("pos")).alias("_gone"))
     out = docs.withColumn("_row", row_key(key, text)).join(gone, "_row", "left")
+    lines = F.split(text, "\n")
     return out.withColumns(
         {
-            text: F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")),
-            "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long"),
+            text: F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(_without(lines, F.col("_gone")), "\n")),
+            "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long"),
             "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
         }
     ).drop("_row", "_gone")

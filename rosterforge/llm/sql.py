@@ -8,27 +8,34 @@ from __future__ import annotations
 
 from rosterforge.llm import line_templates as lt
 
+def _gone(i: int, level: lt.Level) -> str:
+    """CTEs down to ``gone<i>(doc_id, pos)``: the lines that the level drops."""
+    return f"""
+leaves{i} AS (SELECT n, head FROM keyed WHERE n BETWEEN {level.least} AND {level.most} GROUP BY ALL HAVING count(DISTINCT same) >= {level.texts}),
+found{i} AS (SELECT keyed.* FROM keyed JOIN leaves{i} USING (n, head)),
+kinds{i} AS (SELECT n, head, tok, count(DISTINCT same) AS c FROM found{i} GROUP BY ALL),
+words{i} AS (SELECT n, head, tok, c, unnest(tok) AS word, generate_subscripts(tok, 1) AS place FROM kinds{i}),
+held{i} AS (SELECT n, head, place, word FROM words{i} WHERE word <> '{lt.FIELD}' GROUP BY ALL HAVING sum(c) >= {level.texts}),
+slots{i} AS (
+  SELECT w.n, w.head, w.tok, any_value(w.c) AS c, list(coalesce(h.word, '{lt.FIELD}') ORDER BY w.place) AS template FROM words{i} w
+  LEFT JOIN held{i} h ON h.n = w.n AND h.head = w.head AND h.place = w.place AND h.word = w.word
+  GROUP BY w.n, w.head, w.tok HAVING avg(CASE WHEN h.word IS NULL THEN 0 ELSE 1 END) >= {lt.CONSTANT} AND count(h.word) >= {level.fixed}),
+often{i} AS (SELECT n, head, template FROM slots{i} GROUP BY ALL HAVING sum(c) >= {level.texts}),
+there{i} AS (
+  SELECT f.doc_id, f.pos, row_number() OVER (PARTITION BY s.n, s.head, s.template ORDER BY f.doc_id, f.pos) AS nth
+  FROM found{i} f JOIN slots{i} s USING (n, head, tok) JOIN often{i} o ON o.n = s.n AND o.head = s.head AND o.template = s.template),
+gone{i} AS (SELECT doc_id, pos FROM there{i} WHERE nth > 1)"""
+
+
 OP7 = f"""
 WITH lines AS (
   SELECT doc_id, text AS same, unnest(string_split(even, chr(10))) AS line, generate_subscripts(string_split(even, chr(10)), 1) - 1 AS pos
   FROM (SELECT doc_id, text, regexp_replace(text, '[\\x20\\x09\\x0B-\\x0D]+', ' ', 'g') AS even FROM documents)),
 tokens AS (
-  SELECT doc_id, same, pos, list_transform(string_split(trim(line, ' '), ' '), lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '{lt.FIELD}' ELSE w END) AS tok FROM lines),
-keyed AS (SELECT *, len(tok) AS n, tok[1:{lt.DEPTH}] AS head FROM tokens WHERE len(tok) >= {lt.LEAST_TOKENS}),
-leaves AS (SELECT n, head FROM keyed GROUP BY ALL HAVING count(DISTINCT same) >= {lt.TEXTS}),
-found AS (SELECT keyed.* FROM keyed JOIN leaves USING (n, head)),
-kinds AS (SELECT n, head, tok, count(DISTINCT same) AS c FROM found GROUP BY ALL),
-words AS (SELECT n, head, tok, c, unnest(tok) AS word, generate_subscripts(tok, 1) AS place FROM kinds),
-held AS (SELECT n, head, place, word FROM words WHERE word <> '{lt.FIELD}' GROUP BY ALL HAVING sum(c) >= {lt.TEXTS}),
-slots AS (
-  SELECT w.n, w.head, w.tok, any_value(w.c) AS c, list(coalesce(h.word, '{lt.FIELD}') ORDER BY w.place) AS template FROM words w
-  LEFT JOIN held h ON h.n = w.n AND h.head = w.head AND h.place = w.place AND h.word = w.word
-  GROUP BY w.n, w.head, w.tok HAVING avg(CASE WHEN h.word IS NULL THEN 0 ELSE 1 END) >= {lt.CONSTANT}),
-often AS (SELECT n, head, template FROM slots GROUP BY ALL HAVING sum(c) >= {lt.TEXTS}),
-there AS (
-  SELECT f.doc_id, f.pos, row_number() OVER (PARTITION BY s.n, s.head, s.template ORDER BY f.doc_id, f.pos) AS nth
-  FROM found f JOIN slots s USING (n, head, tok) JOIN often o ON o.n = s.n AND o.head = s.head AND o.template = s.template),
-gone AS (SELECT doc_id, list(pos) AS gone FROM there WHERE nth > 1 GROUP BY doc_id)
+  SELECT doc_id, same, pos, list_transform(string_split(trim(line, ' '), ' '), lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '{lt.FIELD}' ELSE w END) AS tok
+  FROM lines WHERE trim(line, ' ') <> ''),
+keyed AS (SELECT *, len(tok) AS n, tok[1:{lt.DEPTH}] AS head FROM tokens),{",".join(_gone(i, x) for i, x in enumerate(lt.LEVELS))},
+gone AS (SELECT doc_id, list(DISTINCT pos) AS gone FROM ({" UNION ALL ".join(f"FROM gone{i}" for i in range(len(lt.LEVELS)))}) GROUP BY doc_id)
 SELECT doc_id, CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: NOT list_contains(gone, i - 1)), chr(10)) END AS text,
   CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS n_lines, coalesce(len(gone), 0) AS n_dropped
 FROM documents LEFT JOIN gone USING (doc_id)

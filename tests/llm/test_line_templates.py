@@ -6,13 +6,19 @@ import corpus_pipeline as pipeline
 from rosterforge.llm import line_templates as lt
 
 
-def brute(rows, texts):
-    """The lines that stay, by the rules told in the docstrings."""
+def brute(rows, levels):
+    """The texts that stay, by the rules told in the docstrings."""
+    gone = set().union(*[dropped(rows, level) for level in levels])
+    return ["\n".join(x for p, x in enumerate(text.split("\n")) if (row, p) not in gone) if text is not None else None for row, (_, text, *_) in enumerate(rows)]
+
+
+def dropped(rows, level):
+    texts = level.texts
     lines = []
     for row, (i, text, *_) in enumerate(rows):
         for pos, line in enumerate((text or "").split("\n") if text is not None else []):
             tokens = [lt.FIELD if re.search("[0-9]", w) else w for w in re.sub("[ \t\x0b-\r]+", " ", line).strip(" ").split(" ")]
-            if len(tokens) >= lt.LEAST_TOKENS:
+            if line.strip(" \t\x0b\x0c\r") and level.least <= len(tokens) <= level.most:
                 lines.append(((i is None, i or 0, row, pos), text, (len(tokens), *tokens[: lt.DEPTH]), tuple(tokens)))
     by_leaf, support = defaultdict(set), defaultdict(set)
     for _, text, leaf, tokens in lines:
@@ -27,7 +33,8 @@ def brute(rows, texts):
     for (leaf, tokens), t in support.items():
         if len(by_leaf[leaf]) >= texts:
             slots = tuple(w if w != lt.FIELD and held[leaf, at, w] >= texts else lt.FIELD for at, w in enumerate(tokens))
-            if sum(held[leaf, at, w] >= texts and w != lt.FIELD for at, w in enumerate(tokens)) / len(tokens) >= lt.CONSTANT:
+            constants = sum(held[leaf, at, w] >= texts and w != lt.FIELD for at, w in enumerate(tokens))
+            if constants / len(tokens) >= lt.CONSTANT and constants >= level.fixed:
                 template[leaf, tokens] = leaf, slots
                 often[leaf, slots] += len(t)
     first, gone = {}, set()
@@ -36,7 +43,7 @@ def brute(rows, texts):
         if t and often[t] >= texts:
             if first.setdefault(t, place) != place:
                 gone.add(place[2:])
-    return ["\n".join(x for p, x in enumerate(text.split("\n")) if (row, p) not in gone) if text is not None else None for row, (_, text, *_) in enumerate(rows)]
+    return gone
 
 
 def test_recurring_templates_go_but_for_the_first(spark, make, prose):
@@ -44,8 +51,9 @@ def test_recurring_templates_go_but_for_the_first(spark, make, prose):
     for i, t in enumerate(prose(11, 40)):
         extra = [f"Page {i} of 40 printed on day {i * 3}", "All rights reserved by the owner.", f"Hello there {t.split()[0]}"][: 1 + i % 3]
         rows.append((i, "\n".join([t, *extra, "", "ok"]) if i % 4 else "\n".join([*extra, t])))
-    got = {r.doc_id: r for r in lt.dedup(make(rows), texts=10).collect()}
-    want = brute(rows, 10)
+    levels = (lt.Level(20, 1, 2, 0), *lt.LEVELS[1:])
+    got = {r.doc_id: r for r in lt.dedup(make(rows), levels=levels).collect()}
+    want = brute(rows, levels)
     assert [got[i].text for i in range(40)] == want
     assert sum(r.n_dropped for r in got.values()) == sum((t or "").count("\n") - (w or "").count("\n") for (_, t), w in zip(rows, want, strict=True)) + sum(bool(t) and not w for (_, t), w in zip(rows, want, strict=True))
     assert "All rights reserved by the owner." in got[1].text and "All rights reserved" not in got[2].text + got[5].text
@@ -59,7 +67,7 @@ def test_copies_of_a_document_are_one_text(spark, make, prose):
 
 def test_odd_rows(spark, make, odd):
     for texts in (1, 2, 10):
-        got = lt.dedup(make(odd), texts=texts).collect()
+        got = lt.dedup(make(odd), levels=(lt.Level(texts, 1, lt.MOST, 0),)).collect()
         assert len(got) == len(odd)
         assert {r.text for r in got if r.doc_id == 2} == {None}
     assert lt.dedup(make([])).count() == 0
@@ -76,3 +84,11 @@ def test_the_pipeline_drops_a_long_passage_of_two_documents(spark, make, prose):
     got = {r.doc_id: r.text for r in pipeline.lines(spark, make(rows), "").collect()}
     assert [i for i, t in got.items() if passage in t] == [2]
     assert all(short in got[i] for i in (2, 5)) and all(got[i].split("\n")[0] == t.split("\n")[0] for i, t in rows)
+
+
+def test_short_lines_in_many_texts_go_but_for_the_first(spark, make, prose):
+    rows = [(i, "\n".join([t, "Read more", "Share", "", f"Page {i}"])) for i, t in enumerate(prose(15, 60, 30, 40))]
+    got = {r.doc_id: r.text for r in lt.dedup(make(rows)).collect()}
+    assert [got[i] for i in range(60)] == brute(rows, lt.LEVELS)
+    assert [i for i, t in got.items() if "Read more" in t] == [0] and [i for i, t in got.items() if "Share" in t] == [0]
+    assert all("\n" in got[i] and got[i].split("\n")[0] == rows[i][1].split("\n")[0] for i in range(60))
