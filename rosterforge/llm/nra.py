@@ -1,12 +1,12 @@
 """Exact top-k inner products by no-random-access aggregation, in blocks.
 
-Each component is a list of the candidates sorted by their value.  Per block
-of queries and candidates the lists are read in step, from the top for positive
-query components and from the bottom for negative ones.  What a list has
-shown of a candidate counts exactly; what it has not lies between the list's
-end and the value it has come to.  So each candidate has a lower and an upper
-bound, and a query's reading stops when few candidates' upper bounds reach its
-k-th lower bound; their final scores are then resolved.
+Each component is a list of the candidates' values with a top and a bottom end.
+Per block of queries and candidates the lists are read one after the other, those
+first that can move a query's scores most; no list is looked into out of turn.  What has been
+read of a candidate counts exactly, what has not lies between the ends of the
+unread lists.  So each candidate has a lower and an upper bound, and a query's
+reading stops when few candidates' upper bounds reach its k-th lower bound:
+outsiders then cannot qualify, and the final scores of the few are resolved.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ CANDIDATES = 4096
 QUERIES = 16384
 #: Queries whose bounds are computed together.
 TOGETHER = 256
-#: Shares of the lists read before the bounds are looked at.
-DEPTHS = (1 / 32, 1 / 8, 1 / 3)
+#: The bounds are looked at when the unread lists can move a score by so much of what all can.
+UNREAD = (1 / 4, 1 / 16, 1 / 64)
 #: A query stops reading when so many candidates at most are left.
 LEFT = 64
 LONG = (1 << 63) - 1
@@ -45,32 +45,42 @@ def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.clip(q.astype(object) @ x.T.astype(object), -LONG - 1, LONG).astype(np.int64)
 
 
-def block_top(ids: np.ndarray, x: np.ndarray, own: np.ndarray, q: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
+def block_top(ids: np.ndarray, x: np.ndarray, own: np.ndarray, q: np.ndarray, k: int, told: list[float] | None = None) -> Iterator[tuple[int, int, int]]:
     """(query id, candidate id, score) of each query's k best in the block, its own id
-    excepted, ties to the smaller id."""
+    excepted, ties to the smaller id.  ``told`` gets the share of the lists that each query read."""
     n, dims = x.shape
-    ordered = np.sort(x, axis=0)
-    bottom, top = ordered[0].astype(np.float64), ordered[-1].astype(np.float64)
-    floats = x.astype(np.float64)
+    top, bottom = x.max(0).astype(np.float64), x.min(0).astype(np.float64)
+    lists = np.ascontiguousarray(x.T, np.float64)
     # doubles may round sums this large: bounds then give way to the exact scores
     safe = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(1, dims) < 2.0**53
     for at in range(0, len(q), TOGETHER):
         part, names = q[at : at + TOGETHER], own[at : at + TOGETHER]
+        w = part.astype(np.float64)
+        reach = np.abs(w) * (top - bottom)  # what each list can move the score by
+        order = np.argsort(-reach, axis=1, kind="stable")
+        sums = np.zeros((len(part), n))
+        unread = np.ones(w.shape, bool)
         rest = np.arange(len(part))
         chosen: dict[int, np.ndarray] = {}
-        for share in DEPTHS if safe and n > LEFT else ():
-            depth = max(1, int(n * share))
-            high, deep = ordered[n - depth].astype(np.float64), ordered[depth - 1].astype(np.float64)
-            up, down = np.maximum(part[rest], 0).astype(np.float64), np.minimum(part[rest], 0).astype(np.float64)
-            upper = up @ np.maximum(floats, high).T + down @ np.minimum(floats, deep).T
-            lower = up @ np.where(floats >= high, floats, bottom).T + down @ np.where(floats <= deep, floats, top).T
-            same = names[rest][:, None] == ids[None, :]
-            lower[same] = -np.inf
-            bar = np.partition(lower, n - min(k, n), axis=1)[:, n - min(k, n)]
-            live = (upper >= bar[:, None]) & ~same
+        for share in UNREAD if safe and n > LEFT else ():
+            left = reach.sum(1, keepdims=True) - np.cumsum(np.take_along_axis(reach, order, 1), 1)
+            depth = (left > share * reach.sum(1, keepdims=True)).sum(1) + 1
+            wanted = np.zeros(w.shape, bool)
+            np.put_along_axis(wanted, order, np.arange(dims) < depth[:, None], 1)
+            now = wanted & unread
+            sums[rest] += np.where(now, w, 0.0)[rest] @ lists
+            unread &= ~now
+            # lower bounds are the sums and the low ends of the unread lists, upper ones the high ends
+            slack = np.where(unread, reach, 0.0).sum(1)[rest]
+            here = sums[rest]
+            here[names[rest][:, None] == ids[None, :]] = -np.inf
+            bar = np.partition(here, n - min(k, n), axis=1)[:, n - min(k, n)]
+            live = (here >= (bar - slack)[:, None]) & (here > -np.inf)
             done = live.sum(1) <= LEFT
             for i, mask in zip(rest[done], live[done], strict=True):
                 chosen[int(i)] = np.flatnonzero(mask)
+            if told is not None:
+                told += (~unread[rest[done]]).mean(1).tolist()
             rest = rest[~done]
             if not len(rest):
                 break
@@ -79,6 +89,8 @@ def block_top(ids: np.ndarray, x: np.ndarray, own: np.ndarray, q: np.ndarray, k:
             for i, row in zip(rest, scores, strict=True):
                 bar = np.partition(row, max(0, n - k - 1))[max(0, n - k - 1)]
                 chosen[int(i)] = np.flatnonzero(row >= bar)
+            if told is not None:
+                told += [1.0] * len(rest)
         for i, who in chosen.items():
             who = who[ids[who] != names[i]]
             final = _exact(part[i : i + 1], x[who])[0]
