@@ -1,3 +1,4 @@
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -8,9 +9,17 @@ from rosterforge.llm import token_counts as tc
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
 
+SIZE = tc.processor(PATH).get_piece_size()
+
+
 @pytest.fixture(scope="module")
-def counter():
-    return tc.UnigramCounter(PATH)
+def counts():
+    return np.random.default_rng(4).zipf(1.3, SIZE).clip(0, 10**9)
+
+
+@pytest.fixture(scope="module")
+def counter(counts):
+    return tc.UnigramCounter(PATH, counts)
 
 
 def plain(counter, word):
@@ -32,7 +41,11 @@ def test_shared_prefixes_change_nothing(counter, words):
     assert dict(counter.count_distinct(words)) == {w: plain(counter, w) for w in words}
 
 
-def test_odd_rows(spark, make, odd, counter):
+def test_odd_rows(spark, make, odd):
+    words = [w for _, t, *_ in odd for w in (t or "").split()]
+    counts = np.bincount([i for w in words for i in tc.processor(PATH).encode(w)], minlength=SIZE)
+    assert tc.piece_counts(make(odd), PATH).tolist() == counts.tolist()
+    counter = tc.UnigramCounter(PATH, counts)
     rows = tc.token_counts(make(odd), PATH).collect()
     assert len(rows) == len(odd)
     for r in rows:
@@ -41,9 +54,14 @@ def test_odd_rows(spark, make, odd, counter):
     assert tc.token_counts(make([]), PATH).count() == 0
 
 
-def test_memo_is_bounded(monkeypatch, counter):
+def test_columns_of_the_results_names_are_replaced(spark):
+    rows = tc.token_counts(spark.createDataFrame([(1, "a b", 7, 8)], "id long, text string, n_tokens long, n_pretokens long"), PATH).collect()
+    assert [(r.id, r.n_pretokens, r.n_tokens) for r in rows] == [(1, 2, 2)]
+
+
+def test_memo_is_bounded(monkeypatch, counter, counts):
     monkeypatch.setattr(tc, "MEMO", 5)
     monkeypatch.setattr(tc, "PART", 20)
     texts = ["the other one", "another day of the other", None, "of a day"] * 5
-    small = tc.UnigramCounter(PATH)
+    small = tc.UnigramCounter(PATH, counts)
     assert list(small.count(texts)) == list(counter.count(texts)) and len(small.memo) < 20
