@@ -2,8 +2,10 @@
 
 Paragraphs are lines.  A section ends at a blank line or at a paragraph whose
 own digest says so, hence an edit moves no section borders but its own.
-Within a paragraph the leaves are spans of up to ``SPAN`` code points that
-end at sentence ends, in texts of any length.  Roots test equality; the short leaf digests that a
+Within a paragraph the leaves are spans of up to ``SPAN`` code points, cut by one rule
+in texts of any length.  They end early at sentence ends, at a space after a word that
+ends in one of some letters, and at some code points of scripts without spaces, so an
+insertion moves the spans only up to the next such place.  Roots test equality; the short leaf digests that a
 fingerprint carries show how much two texts share and where they differ.
 """
 
@@ -25,7 +27,12 @@ SPAN = 8
 SHORT = 6
 #: One paragraph in so many ends a section.
 SECTION = 8
-SPANS = re.compile(f"[^.!?]{{1,{SPAN}}}[.!?]*|[.!?]{{1,{SPAN}}}")
+#: Where a span ends: after these, and after the first two of each sixteen code points from
+#: U+2E80 to U+D7FF, the part of Unicode with scripts that write no spaces.
+ENDS = ".!?。！？" + "".join(f"{chr(c)}{chr(c + 1)}" for c in range(0x2E80, 0xD800, 16))
+#: A space ends a span after these letters.
+WORD_ENDS = "dhlptx"
+SPANS = re.compile(f"[^{ENDS}]{{1,{SPAN - 1}}}?(?:[{ENDS}]{{1,{SPAN}}}|(?<=[{WORD_ENDS}]) )|[^{ENDS}]{{1,{SPAN}}}|[{ENDS}]{{1,{SPAN}}}")
 
 
 def fingerprint(text: str | None) -> str:
@@ -81,28 +88,33 @@ def compare_edited(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     last comes the first (a single row is its own next).  Returns ``key, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
-    Ids alone are sorted first; their range borders then deal out the texts,
+    Ids and row hashes alone are sorted first; their range borders then deal out the texts,
     which are shuffled once.  The head of each range goes to the range above as
-    well, so every row meets its next one without a global order."""
+    well, so every row meets its next one without a global order.  Rows of one id (or
+    without any) are dealt by their hash as well; only fully equal rows stay together."""
     low = -(1 << 63)
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(
-        F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(key, text).alias("tie")
-    ).withColumn("at", F.coalesce("id", F.lit(low)))
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(key, text).alias("tie"))
+    # ascending in (at, then) is the order of next rows from the last to the first
+    rows = rows.withColumns({"at": F.coalesce("id", F.lit(low)), "then": F.bitwise_not("tie")})
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ids = rows.select("at").repartitionByRange(parts, "at").groupBy(F.spark_partition_id().alias("range"))
-    heads = ids.agg(F.min("at").alias("low"), F.max("at").alias("at")).orderBy("low").collect()
-    borders = np.asarray([h["low"] for h in heads], np.int64)
+    place = F.struct("at", "then")
+    ranges = rows.select("at", "then").repartitionByRange(parts, "at", "then").groupBy(F.spark_partition_id().alias("range"))
+    heads = ranges.agg(F.min(place).alias("low"), F.max(place).alias("top")).orderBy("low").collect()
+    border, within = (np.asarray([h["low"][c] for h in heads], np.int64) for c in ("at", "then"))
     # the head of each range is the next of the last row of the range above
-    ghosts = docs.sparkSession.createDataFrame(
-        [(h["at"], (i + 1) % len(heads)) for i, h in enumerate(heads)], "at long, above int"
-    )
+    ghosts = docs.sparkSession.createDataFrame([(*h["top"], (i + 1) % len(heads)) for i, h in enumerate(heads)], "at long, then long, above int")
 
     @F.pandas_udf("int")
-    def range_of(at: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(borders, at.to_numpy(), "right") - 1).astype("int32")
-
-    dealt = rows.withColumn("part", range_of("at")).join(F.broadcast(ghosts), "at", "left")
+    def range_of(at: pd.Series, then: pd.Series) -> pd.Series:
+        a, t = at.to_numpy(), then.to_numpy()
+        first, last = np.searchsorted(border, a), np.searchsorted(border, a, "right")
+        for i in np.unique(first[last > first]):  # ids at which ranges begin
+            own = (first == i) & (last > first)
+            last[own] = i + np.searchsorted(within[i : last[own][0]], t[own], "right")
+        return pd.Series(last - 1).astype("int32")
+
+    dealt = rows.withColumn("part", range_of("at", "then")).join(F.broadcast(ghosts), ["at", "then"], "left")
     own = F.struct(F.col("part"), F.lit(False).alias("ghost"))
     also = F.when(F.col("above").isNotNull(), F.array(own, F.struct(F.col("above").alias("part"), F.lit(True).alias("ghost")))).otherwise(F.array(own))
     dealt = dealt.withColumn("to", F.explode(also)).select("to.part", "to.ghost", "id", "at", "tie", "text")

@@ -1,3 +1,4 @@
+from collections import Counter
 from hashlib import sha256
 
 from hypothesis import given
@@ -31,6 +32,69 @@ def test_short_texts_keep_what_an_edit_leaves():
     assert 0.5 <= merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(a[:18] + "something")) < 1
 
 
+def own_spans(line):
+    """The rule for spans, character by character."""
+    ends = lambda c: c in ".!?。！？" or 0x2E80 <= ord(c) < 0xD800 and ord(c) % 16 < 2
+    out, i = [], 0
+    while i < len(line):
+        j = i
+        if ends(line[i]):
+            while j < len(line) and j - i < 8 and ends(line[j]):
+                j += 1
+        else:
+            j += 1
+            while j < len(line) and j - i < 8:
+                if ends(line[j]) or line[j] == " " and line[j - 1] in "dhlptx":
+                    j += not ends(line[j])
+                    break
+                j += 1
+            k = j
+            if j - i < 8 and j < len(line) and ends(line[j]) and not (line[j - 1] == " " and j - i > 1 and line[j - 2] in "dhlptx"):
+                while k < len(line) and k - j < 8 and ends(line[k]):
+                    k += 1
+            j = k
+        out.append(line[i:j])
+        i = j
+    return out
+
+
+def own_tree(text):
+    """(root, [[leaf digests of a paragraph] of a section]) by the docstring."""
+    h = lambda mark, parts: sha256(mark + b"".join(parts)).digest()
+    sections, open_ = [], []
+    for line in text.split("\n") if text else []:
+        leaves = [sha256(x.encode()).digest() for x in own_spans(line)]
+        open_.append((h(b"\1", leaves), leaves))
+        if line == "" or open_[-1][0][0] % 8 == 0:
+            sections.append(open_)
+            open_ = []
+    sections += [open_] * bool(open_)
+    return h(b"\3", [h(b"\2", [n for n, _ in s]) for s in sections]), [[leaves for _, leaves in s] for s in sections]
+
+
+def own_likeness(a, b):
+    (root, x), (other, y) = own_tree(a), own_tree(b)
+    if root == other:
+        return 1.0
+    x, y = (Counter(d[:3] for s in t for p in s for d in p) for t in (x, y))
+    return 2 * (x & y).total() / max(1, x.total() + y.total())
+
+
+@given(st.text(alphabet="abdh.! \né八八九中。", max_size=90))
+def test_a_fingerprint_is_the_trees(text):
+    root, sections = own_tree(text)
+    assert merkle.fingerprint(text) == root.hex() + ":" + "/".join(".".join("".join(d[:3].hex() for d in p) for p in s) for s in sections)
+    assert "".join(x for line in text.split("\n") for x in own_spans(line)) == text.replace("\n", "")
+
+
+def test_an_insertion_moves_few_spans():
+    chinese = "".join(chr(0x4E00 + (i * i * 7 + i) % 3000) for i in range(360))
+    words = " ".join(f"{'word' if i % 3 else 'more'}{chr(97 + i % 26)} sand" for i in range(80))
+    for text in (chinese, words):
+        assert own_likeness("x" + text, text) > 0.8
+        assert merkle.likeness(merkle.fingerprint("x" + text), merkle.fingerprint(text)) == own_likeness("x" + text, text)
+
+
 def brute(rows):
     """Rows in descending id, nulls last, each with the next one's text."""
     ids = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
@@ -46,9 +110,8 @@ def test_edited_texts(spark, make, prose, odd):
             edited = text[: len(text) - k] + after[:k]
             r = got[i]
             assert (r.n_chars, r.edited_sha256) == (len(text), sha256(edited.encode()).hexdigest())
-            assert (r.fingerprint, r.edited_fingerprint) == (merkle.fingerprint(text), merkle.fingerprint(edited))
-            assert r.near_edited == merkle.likeness(r.fingerprint, r.edited_fingerprint)
-            assert r.near_next == merkle.likeness(r.fingerprint, merkle.fingerprint(after))
+            assert (r.fingerprint.split(":")[0], r.edited_fingerprint.split(":")[0]) == (own_tree(text)[0].hex(), own_tree(edited)[0].hex())
+            assert (r.near_edited, r.near_next) == (own_likeness(text, edited), own_likeness(text, after))
 
 
 def test_repeated_rows_and_no_rows(spark, make, odd):
@@ -56,6 +119,19 @@ def test_repeated_rows_and_no_rows(spark, make, odd):
     assert merkle.compare_edited(make([])).count() == 0
 
 
+def test_many_rows_of_one_id_are_dealt_over_ranges(spark, make, prose):
+    texts = prose(10, 60)
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, t) for i, t in enumerate(texts)]
+    got = merkle.compare_edited(make(rows)).collect()
+    hashes = {(r.doc_id, r.text): r.h for r in make(rows).selectExpr("doc_id", "text", "xxhash64(doc_id, text) h").collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r]))
+    want = []
+    for n, (i, t) in enumerate(order):
+        edited = t[: len(t) - len(t) // 3] + order[(n + 1) % len(order)][1][: len(t) // 3]
+        want.append((str(i), sha256(edited.encode()).hexdigest()))
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in got) == sorted(want)
+
+
 def test_texts_on_either_side_of_any_length_are_alike(prose):
     text = prose(9, 1, 80, 80)[0]
     for n in (64, 128, 256, 257, 300):
