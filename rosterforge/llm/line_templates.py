@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import cut, row_key
+from rosterforge.llm.common import cut, row_key, stored
 
 
 class Level(NamedTuple):
@@ -66,42 +66,43 @@ def _of(level: Level, by: str) -> Column:
 
 
 def _templates(kinds: DataFrame, level: Level) -> DataFrame:
-    """``leaf, id, template`` of the kinds of lines whose template recurs on this level."""
-    words = kinds.where(_of(level, "leaf_texts")).select("leaf", "id", "texts", F.posexplode("tokens").alias("at", "word"))
-    held = words.groupBy("leaf", "at", "word").agg(F.sum("texts").alias("by")).where((F.col("by") >= level.texts) & (F.col("word") != FIELD))
-    slots = words.join(held.select("leaf", "at", "word", F.lit(1).alias("one")), ["leaf", "at", "word"], "left")
-    slots = slots.groupBy("leaf", "id").agg(
-        F.first("texts").alias("texts"),
-        F.avg(F.coalesce("one", F.lit(0))).alias("constant"),
-        F.count("one").alias("fixed"),
-        F.array_sort(F.collect_list(F.struct("at", F.when(F.col("one") == 1, F.col("word")).otherwise(FIELD).alias("word")))).alias("slots"),
-    )
-    slots = slots.where((F.col("constant") >= CONSTANT) & (F.col("fixed") >= level.fixed)).select("leaf", "id", "texts", F.xxhash64("leaf", F.col("slots.word")).alias("template"))
+    """``kind, template`` of the kinds of lines whose template recurs on this level.
+
+    A slot is a token at its place in a leaf, a template the slots that are constant;
+    both are 64-bit hashes, so what is shuffled does not grow with the tokens' length."""
+    mine = kinds.where(_of(level, "leaf_texts"))
+    words = mine.select("leaf", "kind", "texts", F.posexplode(F.split("line", " ")).alias("at", "word")).where(F.col("word") != FIELD)
+    words = words.select("kind", "texts", F.xxhash64("leaf", "at", "word").alias("slot"))
+    held = words.groupBy("slot").agg(F.sum("texts").alias("by")).where(F.col("by") >= level.texts).select("slot")
+    fixed = words.join(held, "slot").groupBy("kind").agg(F.count("*").alias("fixed"), F.bit_xor(F.xxhash64("slot")).alias("slots"))
+    enough = (F.col("fixed") >= level.fixed) & (F.col("fixed") / F.col("n") >= CONSTANT)
+    slots = mine.select("leaf", "n", "kind", "texts").join(fixed, "kind").where(enough).select("kind", "texts", F.xxhash64("leaf", "fixed", "slots").alias("template"))
     often = slots.groupBy("template").agg(F.sum("texts").alias("all")).where(F.col("all") >= level.texts).select("template")
-    return cut(slots.join(often, "template").select("leaf", "id", "template"))
+    return cut(slots.join(often, "template").select("kind", "template"))
 
 
 def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", levels: tuple[Level, ...] = LEVELS) -> DataFrame:
     """The lines to drop: ``_row`` (the row's key) and ``pos``, perhaps more than once.
 
-    Two passes read the texts.  Only lines in leaves of enough distinct texts are kept in
-    memory or shuffled with their tokens; equal lines are one row with a count
-    from then on."""
+    Two passes read the texts.  Only lines in leaves of enough distinct texts are kept;
+    equal lines are one kind with a count from then on."""
     lines = _lines(docs, key, text)
     leaves = lines.select("leaf", "n", "_same").distinct().groupBy("leaf", "n").agg(F.count("*").alias("leaf_texts"))
     leaves = cut(leaves.where(reduce(Column.__or__, [_of(x, "leaf_texts") for x in levels])).select("leaf", "leaf_texts"))
     few = leaves.count() <= BROADCAST_LEAVES
-    found = lines.join(F.broadcast(leaves) if few else leaves, "leaf").withColumn("tokens", F.split(_masked(F.col("line")), " "))
-    found = cut(found.drop("line").withColumn("id", F.xxhash64("tokens")))
-    of_text = found.select("leaf", "n", "leaf_texts", "id", "tokens", "_same").distinct()
-    kinds = cut(of_text.groupBy("leaf", "n", "leaf_texts", "id").agg(F.first("tokens").alias("tokens"), F.count("*").alias("texts")))
+    found = lines.join(F.broadcast(leaves) if few else leaves, "leaf").withColumn("line", _masked(F.col("line")))
+    found = stored(found.withColumn("kind", F.xxhash64("leaf", "line")))
+    texts = found.select("kind", "_same").distinct().groupBy("kind").agg(F.count("*").alias("texts"))
+    kinds = found.groupBy("kind").agg(*[F.first(c).alias(c) for c in ("leaf", "n", "leaf_texts", "line")])
+    kinds = stored(kinds.join(texts, "kind"))
 
     def late(often: DataFrame) -> DataFrame:
-        there = found.select("leaf", "id", "_key", "_row", "pos").join(often, ["leaf", "id"])
+        few = often.count() <= BROADCAST_LEAVES
+        there = found.select("kind", "_key", "_row", "pos").join(F.broadcast(often) if few else often, "kind")
         place = F.struct(F.col("_key").isNull().alias("null"), F.col("_key"), F.col("_row"), F.col("pos"))
         first = there.groupBy("template").agg(F.min(place).alias("first"))
         # one row per template: small beside the lines, so a very common template's need not meet in one task
-        first = F.broadcast(first) if often.select("template").distinct().count() <= BROADCAST_LEAVES else first
+        first = F.broadcast(first) if few else first
         return there.join(first, "template").where((F.col("_row") != F.col("first._row")) | (F.col("pos") != F.col("first.pos"))).select("_row", "pos")
 
     return reduce(DataFrame.unionAll, [late(_templates(kinds, x)) for x in levels])
