@@ -572,23 +572,23 @@ def registry_cascade(spark, d):
 
 
 def _snapshot(spark, d):
-    """Registry tables from the star schema: roots and profiles are parts, products suppliers, support line items."""
-    part = D.base(spark, d, "part")
-    root = lambda k: F.concat(F.lit("r"), (F.col(k) % 100).cast("string"))
-    roots = part.where("p_partkey < 100").select(root("p_partkey").alias("root_id"), F.replace("p_name", F.lit(" "), F.lit("_")).alias("slug"), F.concat(F.lit("https://"), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit(".example.com")).alias("url_main"))
-    profiles = part.where("p_partkey < 100").select(F.col("p_partkey").cast("string").alias("profile_id"), root("p_partkey").alias("root_id"), F.col("p_name").alias("name"), F.lit("").alias("description_short"), F.lit("").alias("type"), F.lit("").alias("sector"), F.lit("Active").alias("status"))
+    """Registry tables from the star schema: roots and profiles are the names that parts make, products suppliers, support line items."""
+    entries = _entries(spark, d)
+    roots = entries.select("root_id", "slug", F.col("url").alias("url_main"))
+    profiles = entries.select(F.col("entry_id").alias("profile_id"), "root_id", "name", F.lit("").alias("description_short"), "type", F.lit("").alias("sector"), "status")
+    root = lambda k: F.concat(F.lit("r"), F.col(k).cast("string"))
     sup = D.base(spark, d, "supplier")
     products = sup.select(F.col("s_suppkey").cast("string").alias("product_id"), root("s_suppkey").alias("root_id"), F.col("s_name").alias("name"), F.lit("").alias("description"), F.lit("dex").alias("type"), F.lit("Live").alias("status"), F.lit(True).alias("is_main"))
-    tickers = F.element_at(F.array(*map(F.lit, ["USDT", "USDC", "Solana", "ADA", "XYZ"])), (F.col("l_linenumber") % 5 + 1).cast("int"))
-    support = D.base(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("product_id"), F.lit("a").alias("asset_id"), F.lit("").alias("asset_name"), tickers.alias("asset_ticker"), F.when(F.col("l_quantity") > 48, "supported_by").otherwise("other").alias("support_slug"))
+    tickers = F.element_at(F.array(*map(F.lit, ["USDT", "USDC", "Solana", "ADA", "XYZ"])), ((F.col("l_suppkey") + F.col("l_linenumber") % 2) % 5 + 1).cast("int"))
+    support = D.base(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("product_id"), F.lit("a").alias("asset_id"), F.lit("").alias("asset_name"), tickers.alias("asset_ticker"), F.when(F.col("l_linenumber") < 7, "supported_by").otherwise("other").alias("support_slug"))
     none = spark.createDataFrame([], "asset_id string, root_id string, name string, ticker string, type string, status string")
     nations = D.base(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("entity_id"), F.col("n_name").alias("name"), F.lit("").alias("trade_name"), F.lit("").alias("type"), F.lit("").alias("country"))
-    social = part.where("p_partkey < 100").select(root("p_partkey").alias("root_id"), F.lit("Twitter / X").alias("social_type"), F.concat(F.lit("h"), F.col("p_partkey").cast("string")).alias("name"), F.lit("").alias("url"))
+    social = entries.select("root_id", F.lit("Twitter / X").alias("social_type"), F.regexp_replace("root_id", "^r", "h").alias("name"), F.lit("").alias("url"))
     return {"reg_root": roots, "reg_profile": profiles, "reg_product": products, "reg_support": support, "reg_asset": none, "reg_entity": nations, "reg_social": social}
 
 
 TICKERS = """
-SELECT concat('r', l_suppkey % 100) AS root_id, array_to_string(list_sort(list_distinct(list(['USDT', 'USDC', 'Solana', 'ADA', 'XYZ'][l_linenumber % 5 + 1]))), ',') AS supported FROM lineitem WHERE l_quantity > 48 GROUP BY 1
+SELECT concat('r', l_suppkey) AS root_id, array_to_string(list_sort(list_distinct(list(['USDT', 'USDC', 'Solana', 'ADA', 'XYZ'][CAST((l_suppkey + l_linenumber % 2) % 5 + 1 AS INTEGER)]))), ',') AS supported FROM lineitem WHERE l_linenumber < 7 GROUP BY 1
 """
 
 
@@ -608,18 +608,100 @@ def support_gap(spark, d):
     return g.select("row_id", F.array_join("gaps", ",").alias("gaps"), "gap_status")
 
 
-@query()
+MULTI = """
+SELECT term, coalesce(count(name), 0) > 0 AS matched, CAST(count(name) AS INTEGER) AS match_count, coalesce(string_agg(name, ', ' ORDER BY -confidence, kind_rank, entry_id), '') AS match_names, CAST(max(confidence) AS DOUBLE) AS confidence
+FROM (SELECT DISTINCT p_name AS term FROM part) t LEFT JOIN (
+  SELECT s, name, kind_rank, entry_id, round(least(greatest(ladder + bonus, 0), 2), 2) AS confidence, row_number() OVER (PARTITION BY s, e ORDER BY kind_rank, entry_id) AS nth FROM (
+    SELECT *, CASE WHEN e = s THEN 1.0 WHEN starts_with(e, s || ' ') OR starts_with(e, s || '-') THEN 0.75 WHEN starts_with(e, s) THEN 0.7
+        WHEN contains(e, s) THEN CASE WHEN len(list_filter(string_split(e, ' '), lambda w: NOT list_contains(string_split(s, ' '), w))) > 1 THEN 0.3 ELSE 0.5 END WHEN contains(s, e) THEN 0.5 ELSE 0 END AS ladder,
+      CASE WHEN regexp_matches(s, '\\b' || e || '\\b') THEN 0.6 WHEN contains(s, e) THEN 0.3 ELSE 0 END AS bonus
+    FROM (SELECT DISTINCT p_name AS s FROM part) JOIN (
+      SELECT name, lower(name) AS e, kind_rank, entry_id FROM {entries} UNION ALL SELECT s_name, lower(s_name), 1, CAST(s_suppkey AS VARCHAR) FROM supplier UNION ALL SELECT n_name, lower(n_name), 3, CAST(n_nationkey AS VARCHAR) FROM nation) ON contains(e, s)))
+  m ON m.s = t.term AND nth = 1 AND confidence >= 0.6 GROUP BY term
+"""
+
+
+@query(MULTI)
 def registry_multi_match(spark, d):
     terms = D.base(spark, d, "part").select(F.col("p_name").alias("term")).distinct()
     found = registry.multi_match(terms, _snapshot(spark, d)).withColumns(registry.match_views())
     return found.select("term", "matched", "match_count", "match_names", F.col("primary.confidence").alias("confidence"))
 
 
-@query()
+TERM = "CASE WHEN name LIKE '% Finance V2' THEN left(name, length(name) - 3) ELSE regexp_replace(name, ' (Protocol|Network|Labs|Swap)$', '') END"
+
+
+@query(f"""
+WITH r AS (SELECT row_id, lower(name) AS s, lower({TERM}) AS term, {URLKEY.format("website")} AS site FROM {{catalog}}),
+hits AS (SELECT r.row_id, s, lower(e.name) AS g, entry_id, row_number() OVER (PARTITION BY row_id ORDER BY entry_id) AS p FROM r JOIN {{entries}} e ON length(term) >= 3 AND contains(lower(e.name), term)),
+scored AS (SELECT row_id, entry_id, p, CASE WHEN g = s THEN 1.0 WHEN regexp_matches(g, '\\b' || s || '\\b') THEN 0.9 WHEN regexp_matches(s, '\\b' || g || '\\b') THEN 0.85
+  WHEN starts_with(g, s) OR starts_with(s, g) THEN 0.8 ELSE 0.6 END AS confidence FROM hits WHERE p <= 5),
+named AS (SELECT row_id, arg_min(entry_id, struct_pack(a := -confidence, b := p)) AS entry_id, max(confidence) AS confidence, 'name' AS method FROM scored WHERE confidence >= 0.8 GROUP BY row_id)
+SELECT row_id, entry_id, CAST(confidence AS DOUBLE) AS confidence, method FROM named UNION ALL
+SELECT row_id, arg_min(entry_id, root_id), 1.0, 'url' FROM r JOIN {{entries}} ON contains(lower(url), site) WHERE site <> '' AND row_id NOT IN (SELECT row_id FROM named) GROUP BY row_id
+""")
 def registry_search(spark, d):
     return registry.search_match(D.catalog(spark, d), _snapshot(spark, d)).select("row_id", "entry_id", "confidence", "method")
 
 
+@query(f"""
+SELECT url, f.root_id, kind, entry_id, CAST(1 AS DOUBLE) AS confidence FROM (
+  SELECT url, root_id, row_number() OVER (PARTITION BY url ORDER BY root_id) AS p FROM (SELECT DISTINCT website AS url FROM {{catalog}}) s JOIN (SELECT root_id, lower(url) AS held FROM {{entries}}) ON {URLKEY.format("url")} <> '' AND contains(held, {URLKEY.format("url")})) h
+JOIN (SELECT root_id, kind, entry_id FROM {{entries}} UNION ALL SELECT concat('r', s_suppkey), 'product', CAST(s_suppkey AS VARCHAR) FROM supplier) f ON f.root_id = h.root_id WHERE p <= 5
+""")
+def registry_url_match(spark, d):
+    sites = D.catalog(spark, d).select(S.trim(S.WEBSITE).alias("url"))
+    return registry.url_match(sites, _snapshot(spark, d)).select("url", "root_id", "kind", "entry_id", "confidence")
+
+
+@query("SELECT key, name, kind FROM (SELECT concat('r', l_suppkey) AS key FROM lineitem GROUP BY 1) LEFT JOIN (SELECT root_id, name, kind FROM {entries}) ON root_id = key")
+def registry_lookup(spark, d):
+    keys = D.base(spark, d, "lineitem").select(F.concat(F.lit("r"), F.col("l_suppkey").cast("string")).alias("root_id")).distinct()
+    return registry.lookup(keys, _entries(spark, d), "root_id").select(F.col("root_id").alias("key"), "name", "kind")
+
+
+@query("SELECT row_id FROM {catalog} WHERE contains(lower(name), 'anvil')")
+def name_search(spark, d):
+    return D.catalog(spark, d).where(filters.name_search("Anvil")).select("row_id")
+
+
+@query("SELECT row_id, contains(lower(name), 'usd') OR contains(lower(notes), 'usd') AS any_case, contains(name, 'usd') OR contains(notes, 'usd') AS same_case FROM {catalog}")
+def search_predicate(spark, d):
+    columns = [S.NAME, S.NOTES]
+    return D.catalog(spark, d).select("row_id", filters.registry_search(columns, "usd").alias("any_case"), filters.registry_search(columns, "usd", True).alias("same_case"))
+
+
+@query("SELECT DISTINCT p_type AS type FROM part WHERE p_type <> '' ORDER BY 1 LIMIT 200")
+def type_dictionary(spark, d):
+    return filters.types_of(D.base(spark, d, "part").select(F.col("p_type").alias("type")))
+
+
+@query("SELECT row_id, name FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(name)) ORDER BY row_id) AS nth FROM {incoming}) WHERE nth = 1")
+def distinct_names(spark, d):
+    i = D.derived(spark, d, D.INCOMING).select("row_id", "name")
+    return pages.distinct_names(i, order="row_id")
+
+
+SPLIT = f"SELECT coalesce(c.chain_id, CASE WHEN trim(k.eco) = '' THEN '__unknown__' ELSE trim(k.eco) END) AS chain_id, c.chain_id IS NOT NULL AS known FROM {{catalog}} k LEFT JOIN ({ECO}) c ON c.eco = k.eco"
+
+
+@query(f"SELECT regexp_replace(regexp_replace(lower(chain_id), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS id, min(chain_id) AS name, 'USDT,USDC' AS assets FROM ({SPLIT}) WHERE NOT known AND chain_id <> '__unknown__' GROUP BY 1 HAVING id <> '' AND id NOT IN (SELECT id FROM {{chains}})")
+def new_chains(spark, d):
+    chains = D.derived(spark, d, D.CHAINS)
+    split = merge.split_by_chain(D.catalog(spark, d), chains)
+    return merge.new_chains(split, chains).select("id", "name", F.array_join("target_assets", ",").alias("assets"))
+
+
+@query("""
+SELECT p_partkey AS id, regexp_replace(regexp_replace(lower(trim(p_type)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug, trim(p_name) AS status, trim(p_name) AS plain,
+  regexp_replace(replace(replace(lower(trim(p_brand)), '-', ' '), '_', ' '), '[^a-z0-9 ]', '', 'g') AS spaced, concat('$', format('{:,}', CAST(round_even(p_retailprice * 1024, 0) AS BIGINT))) AS usd FROM part
+""")
+def text_forms(spark, d):
+    p = D.base(spark, d, "part")
+    marked = p.withColumns({"s": F.concat(F.lit("✅ - "), "p_name"), "e": F.concat("p_name", F.lit("🚀"))})
+    return marked.select(F.col("p_partkey").alias("id"), T.chain_slug("p_type").alias("slug"), T.status_text("s").alias("status"), T.without_emoji("e").alias("plain"), T.spaced_key("p_brand").alias("spaced"), T.usd(F.col("p_retailprice") * 1024).alias("usd"))
+
+
 @query()
 def registry_gap_report(spark, d):
     _, report = enrich.match_and_gaps(D.catalog(spark, d), _snapshot(spark, d), ["USDT", "USDC", "SOL"])
@@ -662,7 +744,7 @@ def enrich_holdings(spark, d):
 
 
 def _coins(spark, d):
-    return D.derived(spark, d, "SELECT p_partkey AS pos, concat('c', CAST(p_partkey AS STRING)) AS id, concat(p_name, ' ', CAST((p_partkey * 3) % 89 AS STRING)) AS name, upper(substring(p_name, 1, 3)) AS symbol FROM part WHERE p_partkey % 4 = 0").withColumn(
+    return D.derived(spark, d, "SELECT p_partkey AS pos, concat('c', CAST(p_partkey AS STRING)) AS id, concat(p_name, ' ', CAST((p_partkey * 3) % 89 AS STRING)) AS name, upper(substring(p_name, 1, 3)) AS symbol FROM part").withColumn(
         "platforms", F.create_map(F.lit("solana"), F.lit("0x1"), F.lit("cardano"), F.when(F.col("pos") % 8 == 0, "0x2").otherwise(""))
     )
 
@@ -711,9 +793,9 @@ def source_priority(spark, d):
     return enrich.by_source_priority(rows, ["name"], ["SMALL", "ECONOMY"])
 
 
-@query("SELECT p_partkey AS id, lower(trim(s)) || CASE WHEN lower(p_name) <> lower(s) AND length(p_name) > 5 THEN ',' || lower(p_name) ELSE '' END AS keywords FROM (SELECT *, concat(upper(left(p_name, 3)), CAST(p_size AS STRING)) AS s FROM part) WHERE p_retailprice * 1000 >= 1000000")
+@query("SELECT p_partkey AS id, lower(trim(s)) || CASE WHEN lower(p_name) <> lower(s) AND length(p_name) > 5 THEN ',' || lower(p_name) ELSE '' END AS keywords FROM (SELECT *, concat(upper(left(p_name, 3)), CAST(p_size AS STRING)) AS s FROM part) WHERE p_retailprice * 1050 >= 1000000")
 def stablecoin_catalog(spark, d):
-    coins = D.base(spark, d, "part").select(F.col("p_partkey").alias("id"), F.concat(F.upper(F.substring("p_name", 1, 3)), F.col("p_size").cast("string")).alias("symbol"), F.col("p_name").alias("name"), (F.col("p_retailprice") * 1000).alias("market_cap"))
+    coins = D.base(spark, d, "part").select(F.col("p_partkey").alias("id"), F.concat(F.upper(F.substring("p_name", 1, 3)), F.col("p_size").cast("string")).alias("symbol"), F.col("p_name").alias("name"), (F.col("p_retailprice") * 1050).alias("market_cap"))
     return enrich.stablecoin_catalog(coins).select("id", F.array_join("keywords", ",").alias("keywords"))
 
 

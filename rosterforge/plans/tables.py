@@ -86,13 +86,13 @@ CHAINS = """
 SELECT CAST(n_nationkey AS STRING) AS id, n_name AS name, CAST(n_nationkey AS BIGINT) AS pos FROM nation
 """
 
-#: Registry entries: profiles from parts, products from suppliers, each with its root.
+#: Registry entries: one profile for each name that the parts make, with its root.
 ENTRIES = """
-SELECT 'profile' AS kind, 0 AS kind_rank, concat('p', lpad(CAST(p_partkey AS STRING), 9, '0')) AS entry_id,
-  concat(p_name, ' ', CAST((p_partkey * 7) % 89 AS STRING)) AS name, '' AS type, CASE p_partkey % 3 WHEN 0 THEN 'Active' WHEN 1 THEN 'Live' ELSE 'Closed' END AS status,
-  concat('r', CAST(p_partkey AS STRING)) AS root_id, concat(replace(p_name, ' ', '_'), '_', CAST((p_partkey * 7) % 89 AS STRING)) AS slug,
-  concat('https://', replace(p_name, ' ', '-'), CAST(p_partkey % 7 AS STRING), '.example.org/') AS url
-FROM part WHERE p_partkey % 2 = 0
+SELECT 'profile' AS kind, 0 AS kind_rank, concat('p', lpad(CAST(k AS STRING), 9, '0')) AS entry_id,
+  concat(p_name, ' ', CAST(nr AS STRING)) AS name, '' AS type, CASE k % 3 WHEN 0 THEN 'Active' WHEN 1 THEN 'Live' ELSE 'Closed' END AS status,
+  concat('r', CAST(k AS STRING)) AS root_id, concat(replace(p_name, ' ', '_'), '_', CAST(nr AS STRING)) AS slug,
+  concat('https://', replace(p_name, ' ', '-'), CAST(k % 7 AS STRING), '.example.org/') AS url
+FROM (SELECT p_name, (p_partkey * 7) % 89 AS nr, min(p_partkey) AS k FROM part GROUP BY 1, 2) x
 """
 
 
