@@ -49,7 +49,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float = 0.8) -
     ga, gb = _grams(left, "a"), _grams(right, "b")
     often = ga.select("g").unionAll(gb.select("g")).groupBy("g").agg(F.count("*").alias("n"))
 
-    all_a, all_b = _by_rarity(ga, "a", often), _by_rarity(gb, "b", often)
+    # asked for in several branches, hence worked out once
+    all_a, all_b = cut(_by_rarity(ga, "a", often)), cut(_by_rarity(gb, "b", often))
 
     def rare(listed: DataFrame, key: str) -> DataFrame:
         n = F.length(key)
@@ -62,9 +63,14 @@ def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float = 0.8) -
     # each pair is counted once, however many rare bigrams it met by
     shared = F.size(F.array_intersect("grams_a", "grams_b"))
     near = met.select("a", "b").distinct().join(all_a, "a").join(all_b, "b").where(shared > slope * (la + lb) - 1 - 1e-9).select("a", "b")
+    return near.unionByName(contained_pairs(left, right)).distinct()
+
+
+def contained_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every pair ``a, b`` of unequal keys of which one contains the other."""
     inside = containing(left.select(F.col("a").alias("term")), right.select(F.col("b").alias("text"))).select(F.col("term").alias("a"), F.col("text").alias("b"))
     around = containing(right.select(F.col("b").alias("term")), left.select(F.col("a").alias("text"))).select(F.col("text").alias("a"), F.col("term").alias("b"))
-    return near.unionByName(inside).unionByName(around).where("a <> b").distinct()
+    return inside.unionByName(around).where("a <> b").distinct()
 
 
 def _grams_of(c: Column, k: int) -> Column:
@@ -92,7 +98,8 @@ def key_scores(left: DataFrame, right: DataFrame, threshold: float = 0.8, fuzzy:
     """Scored pairs of distinct keys: 1.0 equal, 0.9 contained, else the ratio above the
     threshold (or above 0.9 for contained ones)."""
     equal = left.join(right, F.col("a") == F.col("b")).select("a", "b", F.lit(1.0).alias("score"))
-    pairs = candidate_pairs(left, right, threshold)
+    # cut: the scores below are asked for more than once, and what they cost is the comparison of pairs
+    pairs = cut(candidate_pairs(left, right, threshold)) if fuzzy else contained_pairs(left, right)
     inside = F.col("a").contains(F.col("b")) | F.col("b").contains(F.col("a"))
     score = F.when(inside, F.lit(0.9))
     if fuzzy:
@@ -116,7 +123,7 @@ def best_name_match(incoming: DataFrame, existing: DataFrame, threshold: float =
     a = incoming.select("id", name_key("name").alias("a"))
     b = existing.where(filled("name")).select("id", name_key("name").alias("b"))
     first = b.groupBy("b").agg(F.min("id").alias("match_id"))
-    left, right = a.select("a").where("a <> ''").distinct(), first.select("b").where("b <> ''")
+    left, right = cut(a.select("a").where("a <> ''").distinct()), cut(first.select("b").where("b <> ''"))
     scored = key_scores(left, right, threshold, fuzzy).join(first, "b")
     best = scored.groupBy("a").agg(F.max_by(F.struct("match_id", "score"), F.struct("score", -F.col("match_id"))).alias("m"))
     if match_empty_key:
