@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that the cluster names in ``spark.checkpoint.dir``;
-    only where that is unset (tests) in a local one."""
+    """A reliable checkpoint in the folder that the cluster names in ``spark.checkpoint.dir``.
+    Where that is unset, a temporary one serves local masters only (tests)."""
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
