@@ -50,18 +50,30 @@ class _Digests(dict):
 _digest = _Digests().__getitem__
 
 
-def fingerprint(text: str | None) -> str:
+class _Paragraphs(dict):
+    """Lines with their digests and their leaves' short digests, worked out when asked for first.
+
+    An edited text is made of lines of two texts but for the one at the cut."""
+
+    def __missing__(self, line: str) -> tuple[bytes, str]:
+        leaves = list(map(_digest, SPANS.findall(line)))
+        self[line] = found = sha256(b"\1" + b"".join(leaves)).digest(), b"".join([x[: SHORT // 2] for x in leaves]).hex()
+        return found
+
+
+def fingerprint(text: str | None, lines: _Paragraphs | None = None) -> str:
     """``root:section/section``, a section ``paragraph.paragraph``, a paragraph its
     leaves' short digests in a row.  Null is the empty text, which has no sections.
-    Equal texts have equal fingerprints; different ones different roots."""
+    Equal texts have equal fingerprints; different ones different roots.  ``lines``
+    holds lines worked out before and takes up those of this text."""
+    lines = _Paragraphs() if lines is None else lines
     sections: list[str] = []
     roots: list[bytes] = []
     shorts: list[str] = []
     nodes: list[bytes] = []
     for line in text.split("\n") if text else ():
-        leaves = list(map(_digest, SPANS.findall(line)))
-        node = sha256(b"\1" + b"".join(leaves)).digest()
-        shorts.append(b"".join([x[: SHORT // 2] for x in leaves]).hex())
+        node, short = lines[line]
+        shorts.append(short)
         nodes.append(node)
         if not line or node[0] % SECTION == 0:
             sections.append(".".join(shorts))
@@ -73,22 +85,27 @@ def fingerprint(text: str | None) -> str:
     return sha256(b"\3" + b"".join(roots)).hexdigest() + ":" + "/".join(sections)
 
 
-def _leaves(print_: str) -> tuple[np.ndarray, np.ndarray]:
+Leaves = tuple[np.ndarray, np.ndarray]
+
+
+def _leaves(print_: str) -> Leaves:
     """The distinct leaves of a fingerprint, as numbers, and how often each occurs."""
     tail = print_.partition(":")[2].replace(".", "").replace("/", "")
     parts = np.frombuffer(bytes.fromhex(tail), np.uint8).reshape(-1, SHORT // 2).astype(np.int64)
     return np.unique(parts @ (256 ** np.arange(SHORT // 2)), return_counts=True)
 
 
-def likeness(a: str, b: str) -> float:
-    """1 for equal roots, else the share of leaves (with repeats) that both have."""
-    if a == b:
-        return 1.0
-    (x, n), (y, m) = _leaves(a), _leaves(b)
+def _shared(a: Leaves, b: Leaves) -> float:
+    (x, n), (y, m) = a, b
     _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
     return 2 * int(np.minimum(n[i], m[j]).sum()) / max(1, int(n.sum() + m.sum()))
 
 
+def likeness(a: str, b: str) -> float:
+    """1 for equal roots, else the share of leaves (with repeats) that both have."""
+    return 1.0 if a == b else _shared(_leaves(a), _leaves(b))
+
+
 def differing(a: str, b: str) -> list[tuple[int, int]]:
     """(section, paragraph) of ``a`` whose digests ``b`` lacks: where an edit is.
     Branches that occur in ``b`` as a whole are not entered."""
@@ -139,19 +156,24 @@ def compare_edited(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     dealt = dealt.repartitionById(max(1, len(heads)), F.col("part")).sortWithinPartitions("part", "ghost", F.desc("at"), "tie")
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = None  # part, ghost, id, text, fingerprint
+        last = None  # part, ghost, id, text, fingerprint, its leaves and lines
         for batch in batches:
             out = []
             for part, ghost, i, text in zip(batch["part"], batch["ghost"], batch["k"], batch["text"], strict=True):
                 if last and last[1] and ghost and last[0] == part:
                     continue  # only the first row of the range below is a next row
-                mark = fingerprint(text)
+                lines = _Paragraphs()
+                mark = fingerprint(text, lines)
+                leaves = _leaves(mark)
                 if last and last[0] == part and not last[1]:
-                    n = len(last[3])
-                    edited = last[3][: n - n // 3] + text[: n // 3]
-                    of = fingerprint(edited)
-                    out.append((last[2], n, sha256(edited.encode()).hexdigest(), last[4], of, likeness(last[4], of), likeness(last[4], mark)))
-                last = (part, ghost, i, text, mark)
+                    _, _, k, before, own, held, known = last
+                    n = len(before)
+                    edited = before[: n - n // 3] + text[: n // 3]
+                    known.update(lines)
+                    of = fingerprint(edited, known)
+                    near = [1.0 if own == x else _shared(held, y()) for x, y in ((of, lambda: _leaves(of)), (mark, lambda: leaves))]
+                    out.append((k, n, sha256(edited.encode()).hexdigest(), own, of, *near))
+                last = (part, ghost, i, text, mark, leaves, lines)
             if out:
                 yield pd.DataFrame(out, columns=["k", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
