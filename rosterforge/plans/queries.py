@@ -146,7 +146,9 @@ def html_to_text(spark, d):
     return D.base(spark, d, "pages").select("page_id", H.page_text("html", entities=False).alias("text"))
 
 
-@query()
+@query(f"""
+SELECT page_id, lower(trim(regexp_replace(replace(replace(replace(replace({STRIP}, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'), '{SPACES}', ' ', 'g'))) AS text, '' AS description FROM pages
+""")
 def html_to_plain_text(spark, d):
     return D.base(spark, d, "pages").select("page_id", H.page_text("html").alias("text"), H.description("html").alias("description"))
 
@@ -173,14 +175,24 @@ def site_texts(spark, d):
     return pages.site_texts(rows, p).select("row_id", "text", "pages_fetched")
 
 
-@query()
+@query("""
+SELECT page_id, CAST(i + 1 AS INTEGER) AS place, concat('Record ', page_id, '-', i) AS name FROM (SELECT page_id, unnest(range(30)) AS i FROM pages WHERE page_id % 3 = 0)
+UNION ALL SELECT page_id, CAST(i + 1 AS INTEGER), concat('Record ', page_id, '-', i) FROM (SELECT page_id, unnest(range(10)) AS i FROM pages WHERE page_id % 3 = 1)
+UNION ALL SELECT page_id, CAST(i + 11 AS INTEGER), concat('entry-', i) FROM (SELECT page_id, unnest(range(6)) AS i FROM pages WHERE page_id % 3 = 1)
+UNION ALL SELECT page_id, CAST(i + 1 AS INTEGER), concat('Cell ', i) FROM (SELECT page_id, unnest(range(7)) AS i FROM pages WHERE page_id % 3 = 2)
+""")
 def page_records(spark, d):
-    return pages.page_records(D.base(spark, d, "pages"), ["$.props.pageProps.projects", "$.projects"])
+    return pages.page_records(D.derived(spark, d, D.RECORD_PAGES), ["$.props.pageProps.projects", "$.projects"])
 
 
-@query()
+@query(r"""
+SELECT page_id, CASE WHEN length(h) >= 2 THEN left(h, 500) ELSE '' END AS name, CASE WHEN page_id % 2 = 0 THEN left(concat('About ', url), 500) ELSE '' END AS description, CASE WHEN page_id % 3 = 0 THEN 'News' ELSE '' END AS category,
+  concat('https://other', page_id, '.example.com/a') AS website, CASE WHEN page_id % 2 = 0 THEN concat('https://x.com/u', page_id) ELSE '' END AS twitter, CASE WHEN page_id % 3 = 0 THEN concat('https://t.me/u', page_id) ELSE '' END AS telegram,
+  CASE WHEN page_id % 5 = 0 THEN concat('https://discord.gg/u', page_id) ELSE '' END AS discord, CASE WHEN page_id % 7 = 0 THEN concat('https://github.com/u', page_id) ELSE '' END AS github
+FROM (SELECT page_id, url, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1>', 1), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS h FROM pages)
+""")
 def detail_fields(spark, d):
-    return pages.detail_fields(D.base(spark, d, "pages"))
+    return pages.detail_fields(D.derived(spark, d, D.DETAIL_PAGES))
 
 
 @query(r"""
@@ -197,7 +209,14 @@ def keyword_scan(spark, d):
     return rows.select("row_id", enrich.scan_note(enrich.keyword_scan(F.col("t"), ["USDT", "USDC"])).alias("note"))
 
 
-@query()
+@query(r"""
+WITH c AS (SELECT symbol, min(name) AS name FROM (SELECT DISTINCT replace(upper(left(f, 4)), 'ẞ', 'SS') AS symbol, f AS name FROM (SELECT lower(regexp_extract(text, '^(\p{L}+)', 1)) AS f FROM documents)) WHERE symbol <> '' GROUP BY 1),
+w AS (SELECT symbol, 0 AS p, lower(symbol) AS word FROM c WHERE length(symbol) >= 3 UNION ALL SELECT symbol, 1, name FROM c WHERE length(symbol) >= 3 AND name <> lower(symbol) AND length(name) > 5),
+hits AS (SELECT doc_id, symbol, p, word FROM (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '[^\p{L}\p{M}\p{N}_]+')) AS word FROM documents) JOIN w USING (word) WHERE length(word) <= 5
+  UNION ALL SELECT doc_id, symbol, p, word FROM documents JOIN w ON length(word) > 5 AND contains(lower(text), word))
+SELECT doc_id AS row_id, concat('[', string_agg(concat('{"asset":"', symbol, '","words":["', words, '"]}'), ',' ORDER BY symbol), ']') AS found
+FROM (SELECT doc_id, symbol, string_agg(word, '","' ORDER BY p) AS words FROM hits GROUP BY 1, 2) GROUP BY 1
+""")
 def catalog_keywords(spark, d):
     docs = D.base(spark, d, "documents").select(F.col("doc_id").alias("row_id"), F.lower("text").alias("text"))
     first = F.lower(F.regexp_extract("text", r"^(\p{L}+)", 1))
@@ -207,6 +226,31 @@ def catalog_keywords(spark, d):
     return found.select("row_id", F.to_json("found").alias("found"))
 
 
+@query(r"""
+SELECT page_id, min(p) - 1 AS place, slug, arg_min(CASE WHEN length(t) >= 2 THEN t ELSE concat(upper(left(slug, 1)), lower(substr(slug, 2))) END, p) AS name FROM (
+  SELECT page_id, p, regexp_extract(regexp_extract(a, '(?i)href=["'']([^"'']+)["'']', 1), '^/(\w+)$', 1) AS slug, trim(regexp_replace(regexp_replace(a, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS t
+  FROM (SELECT page_id, unnest(l) AS a, generate_subscripts(l, 1) AS p FROM (SELECT page_id, regexp_extract_all(html, '(?is)(<a\b[^>]*href=["''][^"'']+["''][^>]*>.*?</a>)', 1) AS l FROM pages)))
+WHERE slug <> '' GROUP BY page_id, slug
+""")
+def link_list(spark, d):
+    return pages.link_list(D.base(spark, d, "pages"), r"^/(\w+)$").withColumn("place", F.col("place").cast("long"))
+
+
+@query("SELECT DISTINCT regexp_extract(url, '^https?://[^/]+/en/([0-9]+)', 1) AS slug FROM pages WHERE regexp_matches(url, '^https?://[^/]+/en/[0-9]+') AND regexp_extract(url, '^https?://[^/]+/en/([0-9]+)', 1) <> '5'")
+def sitemap_slugs(spark, d):
+    maps = D.derived(spark, d, "SELECT page_id, concat('<urlset><url><loc> ', url, '</loc></url></urlset>') AS html FROM pages")
+    return pages.sitemap_slugs(maps, "^https?://[^/]+/en/([0-9]+)", ["5"])
+
+
+@query("SELECT page_id, concat('page ', page_id) AS name, url FROM pages WHERE page_id % 4 <> 3")
+def stream_json(spark, d):
+    chunk = lambda c: F.concat(F.lit('<script>self.__next_f.push([1,"'), c, F.lit('"])</script>'))
+    one, two = F.concat(F.lit('0:x {\\"name\\":\\"page '), F.col("page_id").cast("string")), F.concat(F.lit('\\",\\"url\\":\\"'), "url", F.lit('\\"}'))
+    html = F.when(F.col("page_id") % 4 == 3, F.col("html")).otherwise(F.concat("html", chunk(one), chunk(two)))
+    v = D.base(spark, d, "pages").select("page_id", pages.stream_json(html).alias("v")).where("v is not null")
+    return v.select("page_id", *[F.try_variant_get("v", f"$.{c}", "string").alias(c) for c in ("name", "url")])
+
+
 # -- notes and flags --------------------------------------------------------
 
 
@@ -396,7 +440,19 @@ def dedup_survivors(spark, d):
     return s.select("row_id", "merged_rows", S.cell(S.NAME).alias("name"), S.cell(S.WEBSITE).alias("website"), S.cell(S.PROFILE).alias("profile"), S.cell(S.USDT).alias("usdt"))
 
 
-@query()
+@query(f"""
+WITH l AS (SELECT arg_min(row_id, struct_pack(a := dom = '', b := row_id)) AS row_id, list(struct_pack(notes := trim(notes), evidence := evidence, source := source) ORDER BY -({RICH}), dom = '', row_id) AS l,
+    list(trim(name) ORDER BY dom = '', row_id) FILTER (trim(name) <> '') AS names, list(trim(source) ORDER BY dom = '', row_id) FILTER (trim(source) <> '') AS sources FROM ({GROUPS}) GROUP BY kk, sub),
+u AS (SELECT row_id, l, list_filter(list_transform(l, lambda x: x.notes), lambda x: x <> '') AS notes, list_filter(flatten(list_transform(l, lambda x: string_split(x.evidence, ' | '))), lambda x: x <> '') AS told,
+    list_filter(names, lambda x, i: NOT list_contains(list_slice(names, 1, i - 1), x)) AS names, list_filter(sources, lambda x, i: NOT list_contains(list_slice(sources, 1, i - 1), x)) AS sources FROM l),
+n AS (SELECT *, list_filter(notes, lambda x, i: NOT list_contains(list_slice(notes, 1, i - 1), x)) AS once FROM u)
+SELECT row_id, CASE WHEN len(l) = 1 THEN l[1].notes ELSE array_to_string(list_filter(list_concat([coalesce(once[1], '')],
+    list_filter(flatten(list_transform(once[2:], lambda v: list_transform(string_split(v, ' | ')[2:], lambda x: trim(x)))), lambda x: NOT contains(coalesce(once[1], ''), x)),
+    [concat('(', CASE WHEN len(names) > 1 THEN concat('fuzzy dedup: merged from ', array_to_string(names, '; ')) ELSE concat('dedup: merged ', len(l), ' rows') END,
+      CASE WHEN len(sources) > 1 THEN concat(' | sources: ', array_to_string(sources, '; ')) ELSE '' END, ')')]), lambda x: x <> ''), ' | ') END AS notes,
+  CASE WHEN len(l) = 1 THEN l[1].evidence ELSE array_to_string(list_filter(told, lambda x, i: NOT list_contains(list_slice(told, 1, i - 1), x)), ' | ') END AS evidence,
+  CASE WHEN len(l) > 1 AND len(sources) > 1 THEN array_to_string(sources, '; ') ELSE l[1].source END AS source FROM n
+""")
 def dedup_merged_notes(spark, d):
     s = dedup.survivors(D.catalog(spark, d))
     return s.select("row_id", S.cell(S.NOTES).alias("notes"), S.cell(S.EVIDENCE).alias("evidence"), S.cell(S.SOURCE).alias("source"))
@@ -452,7 +508,14 @@ def compare_split(spark, d):
     return reports.comparison(duplicates, new, existing).select("duplicates", "new")
 
 
-@query()
+@query(f"""
+WITH RECURSIVE k AS (SELECT row_id, name, {key('name')} AS n, {DOMAIN.format('website')} AS d FROM {{incoming}} WHERE trim(name) <> ''),
+o AS (SELECT *, row_number() OVER (ORDER BY row_id) AS i FROM k WHERE (n = '' OR n NOT IN (SELECT {key('name')} FROM {{catalog}})) AND (d = '' OR d NOT IN (SELECT {DOMAIN.format('website')} FROM {{catalog}}))),
+walk AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS ns, CAST([] AS VARCHAR[]) AS ds, CAST(NULL AS BIGINT) AS row_id, CAST('' AS VARCHAR) AS name
+  UNION ALL SELECT o.i, CASE WHEN ok THEN list_append(ns, n) ELSE ns END, CASE WHEN ok THEN list_append(ds, d) ELSE ds END, CASE WHEN ok THEN o.row_id END, o.name
+  FROM walk JOIN o ON o.i = walk.i + 1, LATERAL (SELECT (n = '' OR NOT list_contains(ns, n)) AND (d = '' OR NOT list_contains(ds, d)) AS ok))
+SELECT row_id, name FROM walk WHERE row_id IS NOT NULL
+""")
 def discovery_merge(spark, d):
     incoming, existing = _pair(spark, d)
     return match.discovery_merge(incoming, existing).select("row_id", S.cell(S.NAME).alias("name"))
@@ -465,6 +528,8 @@ def append_new(spark, d):
 
 
 ECO = "SELECT e.eco, arg_min(c.id, struct_pack(a := NOT (lower(trim(e.eco)) = c.id OR lower(trim(e.eco)) = lower(c.name)), b := c.pos)) AS chain_id FROM (SELECT DISTINCT eco FROM {catalog} WHERE trim(eco) <> '') e LEFT JOIN {chains} c ON lower(trim(e.eco)) = c.id OR contains(lower(trim(e.eco)), lower(c.name)) OR contains(lower(c.name), lower(trim(e.eco))) GROUP BY e.eco"
+SPLIT = f"SELECT coalesce(c.chain_id, CASE WHEN trim(k.eco) = '' THEN '__unknown__' ELSE trim(k.eco) END) AS chain_id, c.chain_id IS NOT NULL AS known FROM {{catalog}} k LEFT JOIN ({ECO}) c ON c.eco = k.eco"
+SPLIT_INCOMING = SPLIT.replace("SELECT coalesce(", "SELECT k.row_id, coalesce(", 1).replace("{catalog} k", "{incoming} k").replace("{catalog}", "{incoming}")
 
 
 @query(f"SELECT coalesce(c.chain_id, CASE WHEN trim(k.eco) = '' THEN '__unknown__' ELSE trim(k.eco) END) AS chain_id, c.chain_id IS NOT NULL AS known_chain, count(*) AS n FROM {{catalog}} k LEFT JOIN ({ECO}) c ON c.eco = k.eco GROUP BY ALL")
@@ -520,6 +585,21 @@ def import_rollup(spark, d):
     return merge.import_rollup(merge.split_by_chain(incoming, chains), found, merge.split_by_chain(existing, chains))
 
 
+@query(f"""
+SELECT x.chain_id, CAST(sum(x.incoming) AS BIGINT) AS incoming, CAST(sum(x.new) AS BIGINT) AS new, CAST(sum(x.duplicates) AS BIGINT) AS duplicates, CAST(sum(x.existing) AS BIGINT) AS existing, bool_or(x.known) AS known FROM (
+  SELECT i.*, coalesce(e.existing, 0) AS existing FROM (
+    SELECT chain_id, count(*) AS incoming, count(*) FILTER (m.id IS NULL) AS new, count(*) FILTER (m.id IS NOT NULL) AS duplicates, bool_or(known) AS known FROM ({SPLIT_INCOMING}) s JOIN (
+      SELECT i.row_id, coalesce(n.best.m, u.id) AS id FROM (SELECT row_id, {URLKEY.format('website')} AS k FROM {{incoming}}) i LEFT JOIN ({MATCHED}) n ON n.row_id = i.row_id
+      LEFT JOIN (SELECT {URLKEY.format('website')} AS k, max(row_id) AS id FROM {{catalog}} WHERE website <> '' GROUP BY 1) u ON u.k = i.k AND i.k <> '') m USING (row_id) GROUP BY chain_id) i
+  LEFT JOIN (SELECT chain_id, count(*) AS existing FROM ({SPLIT}) GROUP BY 1) e USING (chain_id)) x GROUP BY ROLLUP (x.chain_id)
+""")
+def import_rollup_names(spark, d):
+    incoming, existing = _pair(spark, d)
+    chains = D.derived(spark, d, D.CHAINS)
+    found = match.import_matches(incoming, existing, fuzzy=False)
+    return merge.import_rollup(merge.split_by_chain(incoming, chains), found, merge.split_by_chain(existing, chains))
+
+
 @query("""
 SELECT k.row_id, CASE WHEN k.website <> '' THEN k.website ELSE coalesce(s.url, '') END AS website FROM {catalog} k
 LEFT JOIN (SELECT lower(p_name) AS n, arg_max(concat('https://', p_brand), p_partkey) AS url FROM part GROUP BY 1) s ON s.n = lower(k.profile)
@@ -608,6 +688,10 @@ def support_gap(spark, d):
     return g.select("row_id", F.array_join("gaps", ",").alias("gaps"), "gap_status")
 
 
+#: The root that a row names, and those of three assets that the comma list ``supported`` holds under any of their names.
+ADMIN = "CASE WHEN root_id <> '' THEN root_id ELSE regexp_extract(matched_url, '[?&]rootId=([^&#]*)', 1) END"
+HELD = "list_filter(['USDT', 'USDC', 'SOL'], lambda t: list_contains(string_split(coalesce(s.supported, ''), ','), t) OR (t = 'SOL' AND list_contains(string_split(coalesce(s.supported, ''), ','), 'Solana')))"
+
 MULTI = """
 SELECT term, coalesce(count(name), 0) > 0 AS matched, CAST(count(name) AS INTEGER) AS match_count, coalesce(string_agg(name, ', ' ORDER BY -confidence, kind_rank, entry_id), '') AS match_names, CAST(max(confidence) AS DOUBLE) AS confidence
 FROM (SELECT DISTINCT p_name AS term FROM part) t LEFT JOIN (
@@ -631,7 +715,7 @@ def registry_multi_match(spark, d):
 TERM = "CASE WHEN name LIKE '% Finance V2' THEN left(name, length(name) - 3) ELSE regexp_replace(name, ' (Protocol|Network|Labs|Swap)$', '') END"
 
 
-@query(f"""
+SEARCH = f"""
 WITH r AS (SELECT row_id, lower(name) AS s, lower({TERM}) AS term, {URLKEY.format("website")} AS site FROM {{catalog}}),
 hits AS (SELECT r.row_id, s, lower(e.name) AS g, entry_id, row_number() OVER (PARTITION BY row_id ORDER BY entry_id) AS p FROM r JOIN {{entries}} e ON length(term) >= 3 AND contains(lower(e.name), term)),
 scored AS (SELECT row_id, entry_id, p, CASE WHEN g = s THEN 1.0 WHEN regexp_matches(g, '\\b' || s || '\\b') THEN 0.9 WHEN regexp_matches(s, '\\b' || g || '\\b') THEN 0.85
@@ -639,7 +723,10 @@ scored AS (SELECT row_id, entry_id, p, CASE WHEN g = s THEN 1.0 WHEN regexp_matc
 named AS (SELECT row_id, arg_min(entry_id, struct_pack(a := -confidence, b := p)) AS entry_id, max(confidence) AS confidence, 'name' AS method FROM scored WHERE confidence >= 0.8 GROUP BY row_id)
 SELECT row_id, entry_id, CAST(confidence AS DOUBLE) AS confidence, method FROM named UNION ALL
 SELECT row_id, arg_min(entry_id, root_id), 1.0, 'url' FROM r JOIN {{entries}} ON contains(lower(url), site) WHERE site <> '' AND row_id NOT IN (SELECT row_id FROM named) GROUP BY row_id
-""")
+"""
+
+
+@query(SEARCH)
 def registry_search(spark, d):
     return registry.search_match(D.catalog(spark, d), _snapshot(spark, d)).select("row_id", "entry_id", "confidence", "method")
 
@@ -682,9 +769,6 @@ def distinct_names(spark, d):
     return pages.distinct_names(i, order="row_id")
 
 
-SPLIT = f"SELECT coalesce(c.chain_id, CASE WHEN trim(k.eco) = '' THEN '__unknown__' ELSE trim(k.eco) END) AS chain_id, c.chain_id IS NOT NULL AS known FROM {{catalog}} k LEFT JOIN ({ECO}) c ON c.eco = k.eco"
-
-
 @query(f"SELECT regexp_replace(regexp_replace(lower(chain_id), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS id, min(chain_id) AS name, 'USDT,USDC' AS assets FROM ({SPLIT}) WHERE NOT known AND chain_id <> '__unknown__' GROUP BY 1 HAVING id <> '' AND id NOT IN (SELECT id FROM {{chains}})")
 def new_chains(spark, d):
     chains = D.derived(spark, d, D.CHAINS)
@@ -702,7 +786,15 @@ def text_forms(spark, d):
     return marked.select(F.col("p_partkey").alias("id"), T.chain_slug("p_type").alias("slug"), T.status_text("s").alias("status"), T.without_emoji("e").alias("plain"), T.spaced_key("p_brand").alias("spaced"), T.usd(F.col("p_retailprice") * 1024).alias("usd"))
 
 
-@query()
+@query(f"""
+SELECT name AS project_name, website, profile AS profile_name, root_id, matched_url, via AS matched_via, array_to_string(have, '; ') AS supported, array_to_string(gaps, '; ') AS gaps,
+  CASE WHEN want = '' AND matched_url = '' THEN 'NOT IN GRID' WHEN len(gaps) > 0 THEN 'GAPS FOUND' WHEN len(have) = 0 THEN 'NO TARGET SUPPORT' ELSE 'OK' END AS status
+FROM (SELECT *, list_filter(['USDT', 'USDC', 'SOL'], lambda t: contains(evidence, t) AND NOT list_contains(have, t)) AS gaps FROM (
+  SELECT k.*, {HELD} AS have FROM (SELECT *, {ADMIN} AS want FROM (
+    SELECT c.name, c.website, coalesce(e.name, c.profile) AS profile, coalesce(e.root_id, c.root_id) AS root_id, coalesce(e.url, c.matched_url) AS matched_url, coalesce(f.method, c.via) AS via,
+      CASE WHEN e.name IS NULL THEN c.evidence ELSE concat(CASE WHEN c.evidence <> '' THEN concat(c.evidence, ' | ') ELSE '' END, 'Grid: ', e.name, ' (profile) | expanded-grid') END AS evidence
+    FROM {{catalog}} c LEFT JOIN ({SEARCH}) f USING (row_id) LEFT JOIN {{entries}} e USING (entry_id))) k LEFT JOIN ({TICKERS}) s ON s.root_id = want))
+""")
 def registry_gap_report(spark, d):
     _, report = enrich.match_and_gaps(D.catalog(spark, d), _snapshot(spark, d), ["USDT", "USDC", "SOL"])
     return report.withColumnsRenamed({c: c.lower().replace(" ", "_") for c in report.columns})
@@ -713,7 +805,17 @@ def expand_matches(spark, d):
     return D.shortened(enrich.expand_matches(D.catalog(spark, d), _snapshot(spark, d))).select("row_id", "status", "profile", "root_id", "matched_url", "via", "evidence")
 
 
-@query()
+@query(f"""
+SELECT row_id, CASE WHEN stables THEN 'TRUE' ELSE usdt END AS usdt, CASE WHEN stables THEN '' ELSE web3 END AS web3, CASE WHEN list_contains(have, 'USDT') AND list_contains(have, 'USDC') THEN 'TRUE' ELSE stable END AS stable,
+  CASE WHEN len(have) = 0 OR contains(evidence, 'Grid:') THEN evidence ELSE concat(CASE WHEN evidence <> '' THEN concat(evidence, ' | ') ELSE '' END, 'Grid: ', array_to_string(list_transform(have, lambda a: concat(a, ' (supported_by)')), '; ')) END AS evidence,
+  CASE WHEN len(have) = 0 THEN notes ELSE concat(CASE WHEN notes <> '' THEN concat(trim(notes), ' | ') ELSE '' END, 'Grid confirms: ', array_to_string(have, '; ')) END AS notes
+FROM (SELECT *, list_contains(have, 'USDT') OR list_contains(have, 'USDC') AS stables FROM (
+  SELECT k.*, CASE WHEN contains(notes, 'Grid confirms') OR contains(lower(notes), 'false positive') OR (k.root_id = '' AND matched_url = '') THEN [] ELSE {HELD} END AS have
+  FROM (SELECT *, {ADMIN} AS want, CASE WHEN contains(matched_url, 'admin.thegrid.id') THEN '' ELSE {URLKEY.format('matched_url')} END AS u FROM {{catalog}}) k
+  LEFT JOIN (SELECT DISTINCT root_id AS own FROM {{entries}}) a ON own = want
+  LEFT JOIN (SELECT {URLKEY.format('url')} AS site, min(root_id) AS by_url FROM {{entries}} GROUP BY 1 HAVING site <> '') b ON site = u
+  LEFT JOIN ({TICKERS}) s ON s.root_id = coalesce(own, by_url)))
+""")
 def enrich_registry_support(spark, d):
     return D.shortened(enrich.enrich_registry_support(D.catalog(spark, d), _snapshot(spark, d), ["USDT", "USDC", "SOL"])).select("row_id", "usdt", "web3", "stable", "evidence", "notes")
 
@@ -733,7 +835,13 @@ def token_holdings(spark, d):
     return enrich.holdings(details, "near", ["USDT", "USDC", "SOL"]).select("slug", "asset", F.round("usd", 4).alias("usd"))
 
 
-@query()
+@query(fr"""
+SELECT row_id, CASE WHEN hit THEN 'TRUE' ELSE usdt END AS usdt, CASE WHEN hit THEN '' ELSE web3 END AS web3, stable,
+  CASE WHEN hit THEN concat(CASE WHEN evidence <> '' THEN concat(evidence, ' | ') ELSE '' END, 'USDT: $', dollars, ' | SOL: $', CASE WHEN odd THEN dollars ELSE '0' END) ELSE evidence END AS evidence,
+  CASE WHEN hit THEN concat(CASE WHEN notes <> '' THEN concat(trim(notes), ' | ') ELSE '' END, 'Supports USDT; Solana ', CASE WHEN odd THEN 'token detected' ELSE 'chain presence' END) ELSE notes END AS notes
+FROM (SELECT k.*, p.slug IS NOT NULL AND NOT regexp_matches(evidence, '(^|\| )[A-Z0-9]{{2,10}}: \$') AS hit, d.p_size % 2 = 1 AS odd, format('{{:,}}', CAST(round_even(d.p_retailprice, 0) AS BIGINT)) AS dollars
+  FROM {{catalog}} k LEFT JOIN (SELECT lower(concat(p_name, ' ', p_partkey % 89, ' Labs')) AS n, max(p_partkey) AS slug FROM part GROUP BY 1) p ON p.n = lower(trim(k.name)) LEFT JOIN part d ON d.p_partkey = p.slug)
+""")
 def enrich_holdings(spark, d):
     part = D.base(spark, d, "part")
     protocols = part.select(F.concat_ws(" ", "p_name", (F.col("p_partkey") % 89).cast("string"), F.lit("Labs")).alias("name"), F.col("p_partkey").cast("string").alias("slug"), F.lit("").alias("url"), F.array(F.lit("near")).alias("chains"), F.col("p_partkey").alias("pos"))
@@ -799,7 +907,12 @@ def stablecoin_catalog(spark, d):
     return enrich.stablecoin_catalog(coins).select("id", F.array_join("keywords", ",").alias("keywords"))
 
 
-@query()
+@query("""
+SELECT row_id, CAST(p - 1 AS INTEGER) AS place, CASE WHEN s LIKE 'Grid:%' OR s = 'expanded-grid' THEN 'grid' WHEN contains(s, '(CoinGecko)') THEN 'coingecko' WHEN s LIKE 'website-scan%' THEN 'website'
+  WHEN s LIKE 'health-check:%' THEN 'health' WHEN s = 'promoted: website-scan' THEN 'promoted' WHEN s LIKE 'USDT:%' OR s LIKE 'USDC:%' OR contains(s, 'defillama.com') THEN 'defillama' ELSE 'other' END AS kind,
+  CASE WHEN contains(s, ':') THEN trim(split_part(s, ':', 1)) ELSE '' END AS key, trim(CASE WHEN contains(s, ':') THEN substr(s, instr(s, ':') + 1) ELSE s END) AS value
+FROM (SELECT row_id, trim(unnest(l)) AS s, generate_subscripts(l, 1) AS p FROM (SELECT row_id, list_filter(string_split(evidence, ' | '), lambda x: trim(x) <> '') AS l FROM {catalog}))
+""")
 def evidence_segments(spark, d):
     c = D.catalog(spark, d).select("row_id", F.posexplode(ev.parsed(S.EVIDENCE)).alias("place", "s"))
     return c.select("row_id", "place", "s.kind", "s.key", "s.value")

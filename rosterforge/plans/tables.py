@@ -96,6 +96,24 @@ FROM (SELECT p_name, (p_partkey * 7) % 89 AS nr, min(p_partkey) AS k FROM part G
 """
 
 
+#: Pages with what detail pages hold beside their heading: a description, a section, profile links.
+DETAIL_PAGES = """
+SELECT page_id, url, concat(html, CASE page_id % 2 WHEN 0 THEN concat('<meta name="description" content="About ', url, '"><a href="https://x.com/u', CAST(page_id AS STRING), '">x</a>') ELSE '' END,
+  CASE page_id % 3 WHEN 0 THEN concat('<meta property="article:section" content="News"><a href="https://t.me/u', CAST(page_id AS STRING), '">t</a>') ELSE '' END,
+  CASE page_id % 5 WHEN 0 THEN concat('<a href="https://discord.gg/u', CAST(page_id AS STRING), '">d</a>') ELSE '' END,
+  CASE page_id % 7 WHEN 0 THEN concat('<a href="https://github.com/u', CAST(page_id AS STRING), '">g</a>') ELSE '' END,
+  concat('<a href="https://other', CAST(page_id AS STRING), '.example.com/a">o</a>')) AS html FROM pages
+"""
+
+#: Pages with records: embedded JSON (30, or 10 and repeated links), or a table.
+RECORD_PAGES = """
+SELECT page_id, url, concat(html, CASE page_id % 3
+  WHEN 2 THEN concat('<table>', array_join(transform(sequence(0, 6), i -> concat('<tr><td>Cell ', CAST(i AS STRING), '</td><td>x</td></tr>')), ''), '</table>')
+  ELSE concat('<script id="__NEXT_DATA__" type="application/json">{{"projects":[', array_join(transform(sequence(0, CASE page_id % 3 WHEN 0 THEN 29 ELSE 9 END), i -> concat('{{"name":"Record ', CAST(page_id AS STRING), '-', CAST(i AS STRING), '"}}')), ','), ']}}</script>',
+    CASE page_id % 3 WHEN 1 THEN array_join(transform(sequence(0, 5), i -> concat('<a href="/dapps/entry-', CAST(i AS STRING), '">e</a>')), '') ELSE '' END) END) AS html FROM pages
+"""
+
+
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
