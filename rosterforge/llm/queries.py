@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterforge.llm import kneser_ney, line_templates, lm_scoring, merkle, mixing, nra, packing, sanitise, simhash, sql, token_counts
+from rosterforge.llm import interaction, kneser_ney, line_templates, lm_scoring, merkle, mixing, nra, packing, sanitise, simhash, sql, token_counts, whitening
 from rosterforge.llm.common import table, word_count
 
 
@@ -86,6 +86,19 @@ def op10_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.find(table(spark, sf_dir, "documents"))
 
 
+def op11_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders of five filters over all documents, by source."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    marks = labels.select("doc_id", (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic"))
+    counts = interaction.profile(docs, interaction.text_conditions(F.col("text")), marks)
+    return interaction.audit(counts, "ABCDE", ["good", "toxic"])
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened along their 8 strongest components."""
+    return whitening.whiten(whitening.quantised(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,8 +112,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_nra,
         op10_sanitise,
+        op11_interaction,
+        op13_whitening,
     )
 }
 
 #: The other queries are tested against brute force.
-SQL: dict[str, str] = {"op7_line_templates": sql.OP7, "op9_nra": sql.OP9}
+SQL: dict[str, str] = {"op7_line_templates": sql.OP7, "op9_nra": sql.OP9, "op11_interaction": sql.OP11}

@@ -49,3 +49,31 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """
+
+OP11 = """
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+low AS (SELECT t, min(doc_id) AS low FROM d GROUP BY t),
+f AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM d JOIN low USING (t)),
+l AS (SELECT doc_id, max(CAST(coalesce(quality = 1, false) AS INTEGER)) AS good, max(CAST(coalesce(toxic = 1, false) AS INTEGER)) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > low THEN 16 ELSE 0 END AS mask,
+    count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+x AS (SELECT i, chr(CAST(65 + i AS INTEGER)) AS name, CAST(1 AS BIGINT) << i AS bit FROM range(5) r(i)),
+orders AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits FROM x a, x b, x c, x d, x e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS BIGINT) AS state FROM orders, range(1, 6) r(step)),
+each AS (
+  SELECT part, filter_order, step, bit, sum(CASE WHEN mask & (state | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & state = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed, sum(CASE WHEN mask & state > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & state = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN mask & state = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM m, steps GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM each
+"""

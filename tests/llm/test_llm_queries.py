@@ -17,6 +17,8 @@ COLUMNS = {
     "op8_token_counts": {"doc_id", "n_tokens"},
     "op9_nra": {"query_id", "rank", "vec_id", "score"},
     "op10_sanitise": {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"},
+    "op11_interaction": {"part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"},
+    "op13_whitening": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
 }
 
 
@@ -24,15 +26,16 @@ COLUMNS = {
 def test_query(spark, name):
     df = QUERIES[name](spark, SF)
     assert COLUMNS[name] <= set(df.columns)
-    n = spark.read.parquet(f"{SF}/documents.parquet").count()
-    rows = df.count()
-    assert rows >= n if name == "op5_packing" else rows == (50 if name == "op9_nra" else n)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    n, rows = docs.count(), df.count()
+    known = {"op9_nra": 50, "op11_interaction": 600 * docs.select("source").distinct().count(), "op13_whitening": 8 * 500}
+    assert rows >= n if name == "op5_packing" else rows == known.get(name, n)
 
 
 @pytest.mark.parametrize("name", SQL)
 def test_rows_are_the_sqls(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "labels"):
         con.execute(f"create view {t} as select * from '/root/testdata/sf0.01/{t}.parquet'")
     want = con.execute(SQL[name])
     columns = [d[0] for d in want.description]
