@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterforge.llm import interaction, kneser_ney, line_templates, lm_scoring, merkle, mixing, nra, packing, sanitise, simhash, sql, token_counts, whitening
+from rosterforge.llm import interaction, jaccard_join, kneser_ney, line_templates, lm_scoring, merkle, mixing, nra, packing, sanitise, simhash, sql, token_counts, whitening
 from rosterforge.llm.common import table, word_count
 
 
@@ -94,6 +94,11 @@ def op11_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interaction.audit(counts, "ABCDE", ["good", "toxic"])
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links all documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return jaccard_join.groups(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings whitened along their 8 strongest components."""
     return whitening.whiten(whitening.quantised(table(spark, sf_dir, "embeddings")))
@@ -113,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_nra,
         op10_sanitise,
         op11_interaction,
+        op12_jaccard_join,
         op13_whitening,
     )
 }

@@ -18,6 +18,7 @@ COLUMNS = {
     "op9_nra": {"query_id", "rank", "vec_id", "score"},
     "op10_sanitise": {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"},
     "op11_interaction": {"part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"},
+    "op12_jaccard_join": {"doc_id", "n_shingles", "component_id"},
     "op13_whitening": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
 }
 
