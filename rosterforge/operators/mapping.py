@@ -203,25 +203,3 @@ def json_fields(df: DataFrame, column: str, fields: dict[str, str]) -> DataFrame
 def map_rows(df: DataFrame, column: str) -> DataFrame:
     """A map of records as rows, the key in ``_mapKey``."""
     return df.select(F.explode(column).alias("_mapKey", "_v")).select("_mapKey", "_v.*")
-
-
-def normalized_record(df: DataFrame, column: str) -> DataFrame:
-    """Records of unknown shape (JSON text) as scraped records: the first field that is there
-    of each field's usual names, a nested profile first; names under 2 characters drop out."""
-    v = F.try_parse_json(F.col(column))
-    get = lambda *paths: F.coalesce(*[F.nullif(F.trim(F.try_variant_get(v, p, "string")), F.lit("")) for p in paths], F.lit(""))
-    name = get("$.profile.name", "$.name", "$.title", "$.projectName", "$.label", "$.key")
-    rows = df.withColumns(
-        {
-            "name": F.substring(name, 1, 100),
-            "slug": get("$.slug", "$.id"),
-            "description": F.substring(get("$.profile.description", "$.description", "$.tagline"), 1, 500),
-            "category": get("$.profile.category", "$.category", "$.type"),
-            "website": get("$.profile.linktree.website", "$.links.website", "$.website", "$.url"),
-            "twitter": get("$.profile.linktree.twitter", "$.links.twitter", "$.twitter"),
-            "telegram": get("$.profile.linktree.telegram", "$.links.telegram", "$.telegram"),
-            "discord": get("$.links.discord", "$.discord"),
-            "github": get("$.links.github", "$.github"),
-        }
-    )
-    return rows.where(F.length("name") >= 2)

@@ -12,7 +12,7 @@ from rosterforge.functions import evidence as ev
 from rosterforge.functions import html as H
 from rosterforge.functions import text as T
 from rosterforge.functions import urls as U
-from rosterforge.operators import dedup, enrich, filters, mapping, match, merge, pages, registry, reports
+from rosterforge.operators import dedup, enrich, filters, mapping, match, merge, pages, records, registry, reports
 from rosterforge.plans import tables as D
 from rosterforge.sources import catalog as store
 
@@ -251,6 +251,44 @@ def stream_json(spark, d):
     return v.select("page_id", *[F.try_variant_get("v", f"$.{c}", "string").alias(c) for c in ("name", "url")])
 
 
+#: The records that searched pages hold, by kind of page.
+FOUND = """
+SELECT page_id, concat('$.props.k', page_id % 9, '.inner') AS path, 4 * least(10, 5 + page_id % 11) AS score, i, NULL AS map_key, concat('Entry ', page_id, '-', i) AS name,
+  concat('https://e', i, '.example.com') AS website, concat('t', i) AS category, '' AS twitter FROM (SELECT page_id, unnest(range(5 + page_id % 11)) AS i FROM pages WHERE page_id % 5 = 0)
+UNION ALL SELECT page_id, '$.data', 18, i, NULL, concat('Label ', i), concat('https://l', page_id, '.example.com'), '', '' FROM (SELECT page_id, unnest(range(6)) AS i FROM pages WHERE page_id % 5 = 1)
+UNION ALL SELECT page_id, '$.p.all', 120, i, concat('s', lpad(CAST(i AS VARCHAR), 2, '0')), concat('Profile ', page_id, '-', i), '', '', concat('@h', i) FROM (SELECT page_id, unnest(range(12)) AS i FROM pages WHERE page_id % 5 = 2)
+"""
+
+
+@query(f"SELECT page_id, path, CAST(score AS INTEGER) AS score, CAST(i AS INTEGER) AS place, map_key, name FROM ({FOUND})")
+def record_search(spark, d):
+    found = records.found_records(D.derived(spark, d, D.SEARCH_PAGES))
+    v = F.try_parse_json("record")
+    name = F.coalesce(*[F.try_variant_get(v, p, "string") for p in ("$.name", "$.label", "$.profile.name")])
+    return found.select("page_id", "path", "score", "place", "map_key", name.alias("name"))
+
+
+@query(f"SELECT page_id, CAST(i AS INTEGER) AS place, name, coalesce(map_key, lower(replace(name, ' ', '-'))) AS slug, website, category, twitter FROM ({FOUND})")
+def record_fields(spark, d):
+    found = records.found_records(D.derived(spark, d, D.SEARCH_PAGES))
+    return records.normalized(found, "record", "map_key").select("page_id", "place", "name", "slug", "website", "category", "twitter")
+
+
+@query("""
+SELECT page_id, concat('s', i) AS map_key, concat('Str}eam "{', page_id, '-', i) AS name FROM (SELECT page_id, unnest(range(CASE WHEN page_id % 3 = 1 THEN 0 ELSE 6 + page_id % 4 END)) AS i FROM pages)
+""")
+def streamed_records(spark, d):
+    p = D.base(spark, d, "pages")
+    n = F.when(F.col("page_id") % 3 == 1, 5).otherwise(6 + F.col("page_id") % 4)  # five are too few
+    one = lambda i: F.concat(F.lit('"s'), i.cast("string"), F.lit('":{"profile":{"name":"Str}eam \\"{'), F.col("page_id").cast("string"), F.lit("-"), i.cast("string"), F.lit('"}}'))
+    text = F.concat(F.lit("1:T {x} {"), F.array_join(F.transform(F.sequence(F.lit(0), (n - 1).cast("int")), one), ","), F.lit('} and {"more":"}"}'))
+    escaped = lambda c: F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    push = lambda c: F.concat(F.lit('<script>self.__next_f.push([1,"'), escaped(c), F.lit('"])</script>'))
+    html = F.concat("html", push(F.substring(text, 1, 40)), F.lit("<p>between</p>"), push(F.substring(text, F.lit(41), F.length(text))))
+    found = records.streamed_records(p.select("page_id", html.alias("html")))
+    return found.select("page_id", "map_key", F.get_json_object("record", "$.profile.name").alias("name"))
+
+
 # -- notes and flags --------------------------------------------------------
 
 

@@ -113,6 +113,21 @@ SELECT page_id, url, concat(html, CASE page_id % 3
     CASE page_id % 3 WHEN 1 THEN array_join(transform(sequence(0, 5), i -> concat('<a href="/dapps/entry-', CAST(i AS STRING), '">e</a>')), '') ELSE '' END) END) AS html FROM pages
 """
 
+#: Pages whose JSON has no fixed layout: an array under changing keys beside a lesser one; a weak
+#: block before a good one; a map of profiles; records nested too deeply; text that is no JSON.
+SEARCH_PAGES = """
+SELECT page_id, url, concat(html, CASE page_id % 5
+  WHEN 0 THEN concat('<script id="__NEXT_DATA__" type="application/json">{{"props":{{"k', CAST(page_id % 9 AS STRING), '":{{"inner":[', array_join(transform(sequence(0, CAST(4 + page_id % 11 AS INT)),
+      i -> concat('{{"name":"Entry ', CAST(page_id AS STRING), '-', CAST(i AS STRING), '","website":"https://e', CAST(i AS STRING), '.example.com","tags":["t', CAST(i AS STRING), '"]}}')), ','),
+    ']}}}},"nav":[', array_join(transform(sequence(0, 5), i -> '{{"title":"Nav"}}'), ','), ']}}</script>')
+  WHEN 1 THEN concat('<script type="application/json">{{"weak":[1,', array_join(transform(sequence(0, 3), i -> '{{"name":"Weak"}}'), ','), ']}}</script><p>x</p><script type="application/json" id="b">{{"data":[',
+    array_join(transform(sequence(0, 5), i -> concat('{{"label":"Label ', CAST(i AS STRING), '","url":"https://l', CAST(page_id AS STRING), '.example.com"}}')), ','), ']}}</script>')
+  WHEN 2 THEN concat('<script id="__NEXT_DATA__" type="application/json">{{"p":{{"all":{{', array_join(transform(sequence(0, 11),
+      i -> concat('"s', lpad(CAST(i AS STRING), 2, '0'), '":{{"profile":{{"name":"Profile ', CAST(page_id AS STRING), '-', CAST(i AS STRING), '","linktree":{{"twitter":"https://x.com/h', CAST(i AS STRING), '"}}}}}}')), ','), '}}}}}}</script>')
+  WHEN 3 THEN concat('<script id="__NEXT_DATA__" type="application/json">{{"a":{{"b":{{"c":{{"d":{{"e":{{"f":[', array_join(transform(sequence(0, 5), i -> '{{"name":"Deep"}}'), ','), ']}}}}}}}}}}}}</script>')
+  ELSE '<script type="application/json">[{{"name":</script>' END) AS html FROM pages
+"""
+
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
