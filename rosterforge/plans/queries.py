@@ -12,7 +12,7 @@ from rosterforge.functions import evidence as ev
 from rosterforge.functions import html as H
 from rosterforge.functions import text as T
 from rosterforge.functions import urls as U
-from rosterforge.operators import dedup, enrich, filters, mapping, match, merge, pages, records, registry, reports
+from rosterforge.operators import dedup, enrich, filters, mapping, match, merge, pages, records, registry, reports, sites
 from rosterforge.plans import tables as D
 from rosterforge.sources import catalog as store
 
@@ -289,6 +289,49 @@ def streamed_records(spark, d):
     return found.select("page_id", "map_key", F.get_json_object("record", "$.profile.name").alias("name"))
 
 
+#: Two sites with other rules each; pages with an even number are details.
+SITES = [
+    sites.Site("com", ("http*://*.example.com/**",), kinds=(("^/[a-z]{2}/[0-9]*[02468]$", "detail"),), default="list", chain=("^/([a-z]{2})/",),
+        fields=(sites.Field("name", "h1"), sites.Field("slug", "^/[a-z]{2}/([0-9]+)", "url"), sites.Field("first", 'a[href^="/"]', "href")),
+        links=sites.Links("^/(\\w+)$", "stripTicker", most=12, fixed={"source": "com"}, more={"link": "/on/{slug}"})),
+    sites.Site("net", ("http*://*.example.net/**",), kinds=(("^/[a-z]{2}/[0-9]*[02468]$", "detail"),), default="list",
+        fields=(sites.Field("name", "title", first_word=True, least=3), sites.Field("slug", 'div[class="ad"], aside', most=20)),
+        links=sites.Links("^/([^/]+)$", fixed={"source": "net"})),
+]
+_SITED = r"""(SELECT *, regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1) AS path, CASE WHEN regexp_matches(url, '^http[^/]*://[^/]*\.example\.com/.*$') THEN 'com' WHEN regexp_matches(url, '^http[^/]*://[^/]*\.example\.net/.*$') THEN 'net' END AS site FROM pages)"""
+
+
+def _plain(sql: str) -> str:
+    return f"trim(regexp_replace(regexp_replace({sql}, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query(rf"""
+SELECT * FROM (SELECT page_id, site, CASE WHEN site = 'com' THEN path[2:3] ELSE '' END AS chain,
+    CASE WHEN site = 'com' THEN {_plain("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1[ ]*>', 1)")} WHEN length(word) >= 3 THEN word ELSE '' END AS name,
+    CASE WHEN site = 'com' THEN regexp_extract(path, '^/[a-z]+/([0-9]+)', 1) ELSE left({_plain("regexp_extract(html, '(?is)<div class=.ad.[^>]*>(.*?)</div>', 1)")}, 20) END AS slug,
+    CASE WHEN site = 'com' THEN regexp_extract(html, '(?i)<a href=.(/[^"]*)', 1) ELSE '' END AS first
+  FROM (SELECT *, regexp_extract({_plain("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")}, '^([^ ]*)', 1) AS word FROM {_SITED}) WHERE site IS NOT NULL AND regexp_matches(path, '^/[a-z][a-z]/[0-9]*[02468]$'))
+WHERE name <> ''
+""")
+def site_details(spark, d):
+    found = sites.detail_fields(D.base(spark, d, "pages"), SITES)
+    return found.select("page_id", "site", F.coalesce("chain", F.lit("")).alias("chain"), *[F.coalesce(F.element_at("fields", c), F.lit("")).alias(c) for c in ("name", "slug", "first")])
+
+
+@query(rf"""
+SELECT page_id, site, CAST(p - 1 AS INTEGER) AS place, slug, name, site AS source, CASE WHEN site = 'com' THEN concat('/on/', slug) ELSE '' END AS link FROM (
+  SELECT page_id, site, slug, min(p) AS p, arg_min(t, p) AS name FROM (
+    SELECT page_id, site, p, regexp_extract(regexp_extract(a, '(?i)href=["'']([^"'']*)["'']', 1), CASE WHEN site = 'com' THEN '^/(\w+)$' ELSE '^/([^/]+)$' END, 1) AS slug, {_plain("a")} AS t
+    FROM (SELECT page_id, site, unnest(l) AS a, generate_subscripts(l, 1) AS p FROM (
+      SELECT page_id, site, regexp_extract_all(html, '(?is)(<a\b[^>]*href=["''][^"'']*["''][^>]*>.*?</a>)', 1) AS l FROM {_SITED} WHERE site IS NOT NULL AND NOT regexp_matches(path, '^/[a-z][a-z]/[0-9]*[02468]$'))))
+  WHERE slug <> '' GROUP BY ALL)
+WHERE length(name) >= 2 AND (site = 'net' OR length(name) < 12)
+""")
+def site_lists(spark, d):
+    found = sites.list_records(D.base(spark, d, "pages"), SITES)
+    return found.select("page_id", "site", "place", "slug", "name", *[F.coalesce(F.element_at("fields", c), F.lit("")).alias(c) for c in ("source", "link")])
+
+
 # -- notes and flags --------------------------------------------------------
 
 
