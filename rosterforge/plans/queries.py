@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from rosterforge.functions import urls as U
 from rosterforge.operators import dedup, enrich, filters, mapping, match, merge, pages, records, registry, reports, sites
 from rosterforge.plans import tables as D
 from rosterforge.sources import catalog as store
+from rosterforge.sources import sheets, versions
+from rosterforge.sources.checkpoints import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -332,6 +335,34 @@ def site_lists(spark, d):
     return found.select("page_id", "site", "place", "slug", "name", *[F.coalesce(F.element_at("fields", c), F.lit("")).alias(c) for c in ("source", "link")])
 
 
+# -- published tables and sheets --------------------------------------------
+
+
+@query("SELECT name, website, evidence FROM {catalog} WHERE category <> ''")
+def published_catalog(spark, d):
+    root = f"{shared_folder(spark)}/catalog-{uuid.uuid4().hex}"
+    df = D.catalog(spark, d)
+    first = versions.publish(df, root)
+    versions.publish(versions.read(spark, root, first).where(F.col(f"`{S.CATEGORY}`") != ""), root, kind="csv", seen=first)
+    return versions.read(spark, root).select(S.cell(S.NAME).alias("name"), S.cell(S.WEBSITE).alias("website"), S.cell(S.EVIDENCE).alias("evidence"))
+
+
+@query("""
+SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE s_suppkey % 4 WHEN 2 THEN '' ELSE concat('Café ', s_name, CASE WHEN s_suppkey % 4 = 1 THEN ', x' ELSE '' END) END AS name,
+  CASE s_suppkey % 4 WHEN 2 THEN concat('Zürich ', s_suppkey) ELSE '' END AS city, CASE s_suppkey % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN 'c' ELSE 'd' END AS kind FROM supplier
+""")
+def sheet_import(spark, d):
+    root = f"{shared_folder(spark)}/sheets-{uuid.uuid4().hex}"
+    rows = D.base(spark, d, "supplier").withColumn("id", F.col("s_suppkey").cast("string"))
+    name, city = F.concat(F.lit("Café "), "s_name"), F.concat(F.lit("Zürich "), "id")
+    kinds = {"a": (name.alias("name"), ",", "UTF-8"), "b": (F.concat(name, F.lit(", x")).alias("name"), "\t", "ISO-8859-1"), "c": (city.alias("city"), ",", "UTF-8"), "d": (name.alias("name"), ",", "ISO-8859-1")}
+    for i, (kind, (column, sep, code)) in enumerate(kinds.items()):
+        rows.where(F.col("s_suppkey") % 4 == i).select("id", column).write.options(header=True, sep=sep, encoding=code).csv(f"{root}/{kind}")
+    df = sheets.read_sheets(spark, root)
+    kind = F.regexp_extract("source_file", "/([a-d])/[^/]*$", 1).alias("kind")
+    return df.select("id", F.coalesce("name", F.lit("")).alias("name"), F.coalesce("city", F.lit("")).alias("city"), kind)
+
+
 # -- notes and flags --------------------------------------------------------
 
 
