@@ -54,57 +54,93 @@ def grouped(df: DataFrame, match_empty_key: bool = False) -> DataFrame:
     return df.withColumn("_sub", sub).drop("_n")
 
 
+def _places(rows: DataFrame, kinds: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """``_key, _sub`` and, for each kind, its distinct non-empty values in order (array).
+
+    ``kinds`` has an array of values and an order per row.  A value meets its group as
+    often as tasks hold it, not as often as rows do, so a group is as large as what
+    its cells will say, however many rows it has."""
+    items = [F.transform(values, _item(k, order)) for k, (values, order) in kinds.items()]
+    each = rows.select("_key", "_sub", F.explode(F.concat(*items)).alias("x")).select("_key", "_sub", "x.*").where("v <> ''")
+    first = each.groupBy("_key", "_sub", "kind", "v").agg(F.min(F.struct("o", "i")).alias("at"))
+    told = first.groupBy("_key", "_sub").agg(F.array_sort(F.collect_list(F.struct("at", "kind", "v"))).alias("x"))
+    return told.select("_key", "_sub", *[F.transform(F.filter("x", _of_kind(k)), lambda x: x["v"]).alias(k) for k in kinds])
+
+
+def _item(kind: str, order: Column):
+    return lambda v, i: F.struct(F.lit(kind).alias("kind"), order.alias("o"), i.alias("i"), v.alias("v"))
+
+
+def _of_kind(kind: str):
+    return lambda x: x["kind"] == kind
+
+
 def survivors(df: DataFrame, match_empty_key: bool = False) -> DataFrame:
     """One row per entity, in place of its first row.
 
     The richest row is the base (ties: rows with a domain, then row order).
     Others fill its empty fields in that order; TRUE wins for flags; notes gain
     unseen segments; evidence is the distinct segments of all; sources are
-    joined in row order; a note tells what was merged."""
+    joined in row order; a note tells what was merged.
+
+    Every field is an ordered aggregate that combines within tasks; no entity's rows
+    stand together in one place, so an entity of any share of the rows is one row's
+    work to finish."""
     g = grouped(df, match_empty_key)
     texts = [c for c in df.columns if c != ROW_ID]
-    g = g.withColumns({"_score": richness(), "_late": F.col("_dom") == ""})
-    row = F.struct(
-        (-F.col("_score")).alias("s"), F.col("_late"), F.col(ROW_ID).alias("id"), F.struct(*[cell(c).alias(f"c{i}") for i, c in enumerate(texts)]).alias("r")
-    )
-    rows = g.groupBy("_key", "_sub").agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    field = {c: f"c{i}" for i, c in enumerate(texts)}
-    n = F.size("rows")
-    by_place = F.array_sort(F.transform("rows", lambda x: F.struct(x["_late"], x["id"], x["r"].alias("r"))))
-    values = lambda c, of="rows": F.transform(F.col(of) if isinstance(of, str) else of, lambda x: trim(x["r"][field[c]]))
-    held = lambda arr: F.filter(arr, lambda v: v != "")
-
-    names = F.array_distinct(held(values(NAME, by_place)))
-    sources = F.array_distinct(held(values(SOURCE, by_place))) if SOURCE in texts else F.array().cast("array<string>")
+    # a row's rank as a base, and its place in the table; a sparse (null) order takes no part
+    by_score = F.struct((-richness()).alias("s"), (F.col("_dom") == "").alias("late"), F.col(ROW_ID).alias("id"))
+    g = g.withColumns({"_best": by_score, "_place": F.struct("_best.late", "_best.id")})
+    held = {c: trim(c) for c in {NAME, *texts} if c in df.columns}
+    aggs = {"_n": F.count("*"), "_id": F.min("_place"), "_base": F.min_by(F.struct(*[cell(c).alias(f"c{i}") for i, c in enumerate(texts)]), "_best")}
+    for i, c in enumerate(texts):
+        if c in FILLED_IN or c == NOTES:
+            aggs[f"_f{i}"] = F.min_by(held[c], F.when(held[c] != "", F.col("_best")))
+        elif c in TRUE_WINS:
+            aggs[f"_t{i}"] = F.count_if(held[c] == "TRUE")
+    groups = g.groupBy("_key", "_sub").agg(*[v.alias(k) for k, v in aggs.items()])
+    kinds = {"_names": (F.array(held[NAME]), F.struct(F.lit(0).alias("s"), F.col("_place.late").alias("late"), F.col("_place.id").alias("id")))}
+    if SOURCE in texts:
+        kinds["_sources"] = (F.array(held[SOURCE]), kinds["_names"][1])
+    if EVIDENCE in texts:
+        kinds["_evidence"] = (evidence.segments(EVIDENCE), F.col("_best"))
+    several = groups.where("_n > 1").select("_key", "_sub")
+    rows = g.join(several, ["_key", "_sub"], "left_semi")
+    groups = groups.join(_places(rows, kinds), ["_key", "_sub"], "left")
+    if NOTES in texts:
+        # of each different note but the first, what stands after its first segment
+        i = texts.index(NOTES)
+        notes = rows.where(held[NOTES] != "").groupBy("_key", "_sub", held[NOTES].alias("note")).agg(F.min("_best").alias("o"))
+        notes = notes.join(groups.where("_n > 1").select("_key", "_sub", F.col(f"_f{i}").alias("first")), ["_key", "_sub"]).where("note <> first")
+        tails = F.expr(r"slice(split(note, ' \\| '), 2, size(split(note, ' \\| ')))")
+        notes = notes.select("_key", "_sub", "first", "o", F.posexplode(F.transform(tails, trim)).alias("i", "v")).where((F.col("v") != "") & ~F.col("first").contains(F.col("v")))
+        notes = notes.groupBy("_key", "_sub").agg(F.array_sort(F.collect_list(F.struct("o", "i", "v"))).alias("x")).select("_key", "_sub", F.transform("x", lambda x: x["v"]).alias("_fresh"))
+        groups = groups.join(notes, ["_key", "_sub"], "left")
+    nothing = F.array().cast("array<string>")
+    names, n = F.coalesce("_names", nothing), F.col("_n")
+    sources = F.coalesce("_sources", nothing) if SOURCE in texts else nothing
     out = {}
-    for c in texts:
-        base = F.element_at("rows", 1)["r"][field[c]]
+    for i, c in enumerate(texts):
+        base = F.col("_base")[f"c{i}"]
         if c in TRUE_WINS:
-            out[c] = F.when(F.exists(F.slice(values(c), F.lit(2), F.greatest(n - 1, F.lit(0))), lambda v: v == "TRUE"), "TRUE").otherwise(base)
+            out[c] = F.when(F.col(f"_t{i}") > F.when(trim(base) == "TRUE", 1).otherwise(0), "TRUE").otherwise(base)
         elif c in FILLED_IN:
-            out[c] = F.when(trim(base) != "", base).otherwise(F.coalesce(F.get(held(values(c)), F.lit(0)), base))
+            out[c] = F.when(trim(base) != "", base).otherwise(F.coalesce(f"_f{i}", base))
         elif c == EVIDENCE:
-            joined = evidence.union(values(c))
+            joined = F.array_join(F.coalesce("_evidence", nothing), " | ")
             out[c] = F.when(joined != "", joined).otherwise(base)
         elif c == SOURCE:
             out[c] = F.when(F.size(sources) > 1, F.array_join(sources, "; ")).otherwise(base)
         elif c == NOTES:
-            notes = F.array_distinct(held(values(c)))
-            first = F.coalesce(F.get(notes, F.lit(0)), F.lit(""))
-            tails = F.flatten(
-                F.transform(F.slice(notes, F.lit(2), F.greatest(F.size(notes) - 1, F.lit(0))), lambda v: F.slice(F.transform(F.split(v, r" \| "), trim), F.lit(2), F.greatest(F.size(F.split(v, r" \| ")) - 1, F.lit(0))))
-            )
-            fresh = F.filter(tails, lambda p: (p != "") & ~first.contains(p))
             why = F.when(F.size(names) > 1, F.concat(F.lit("fuzzy dedup: merged from "), F.array_join(names, "; "))).otherwise(F.concat(F.lit("dedup: merged "), n.cast("string"), F.lit(" rows")))
             told = F.concat(F.lit("("), why, F.when(F.size(sources) > 1, F.concat(F.lit(" | sources: "), F.array_join(sources, "; "))).otherwise(""), F.lit(")"))
-            out[c] = F.array_join(F.filter(F.concat(F.array(first), fresh, F.array(told)), lambda p: p != ""), " | ")
+            out[c] = F.array_join(F.filter(F.concat(F.array(F.coalesce(f"_f{i}", F.lit(""))), F.coalesce("_fresh", nothing), F.array(told)), lambda p: p != ""), " | ")
         else:
             out[c] = base
-    single = {c: F.element_at("rows", 1)["r"][field[c]] for c in texts}
-    return rows.select(
-        F.element_at(by_place, 1)["id"].alias(ROW_ID),
-        *[F.when(n == 1, single[c]).otherwise(out[c]).alias(c) for c in texts],
-        n.alias("merged_rows"),
+    return groups.select(
+        F.col("_id.id").alias(ROW_ID),
+        *[F.when(n == 1, F.col("_base")[f"c{i}"]).otherwise(out[c]).alias(c) for i, c in enumerate(texts)],
+        n.cast("int").alias("merged_rows"),
     )
 
 

@@ -60,9 +60,8 @@ def match_counts(matches: DataFrame, skipped: DataFrame | None = None) -> DataFr
     )
 
 
-def _applied(field: str, strategy: str):
-    """One step of an upsert's fold over a column."""
-    return lambda acc, row: combined(acc, row["r"][field], strategy)
+def _of_column(i: int):
+    return lambda x: x["i"] == i
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, matches: DataFrame, strategies: dict[str, str] | None = None, default: str = "append") -> DataFrame:
@@ -70,24 +69,41 @@ def upsert(existing: DataFrame, incoming: DataFrame, matches: DataFrame, strateg
     appended; root ids are then filled from admin URLs.
 
     A match names an existing row; it lands on the last row of the same lower name
-    (as a reader by name would find it).  The fold runs per target over its own
-    incoming rows only, so targets without any are left as they are."""
+    (as a reader by name would find it).  Each cell is an ordered aggregate of its
+    target's incoming rows that combines within tasks: the first or last filled value,
+    or the different values to append.  Targets without such rows are left as they are."""
     strategies = strategies or {}
     columns = [c for c in incoming.columns if c != ROW_ID]
     target = existing.select(F.col(ROW_ID).alias("match_id"), F.lower(trim(NAME)).alias("_low"))
     last = target.groupBy("_low").agg(F.max("match_id").alias("_last"))
     to = target.join(last, "_low").select("match_id", F.when(F.col("_low") != "", F.col("_last")).otherwise(F.col("match_id")).alias("target"))
     rows = incoming.join(matches.select(ROW_ID, "match_id"), ROW_ID).join(to, "match_id", "left")
-    row = F.struct(F.col(ROW_ID).alias("id"), F.struct(*[cell(c).alias(f"c{i}") for i, c in enumerate(columns)]).alias("r"))
-    updates = rows.where("target is not null").groupBy("target").agg(F.array_sort(F.collect_list(row)).alias("_in"))
+    rule = {c: strategies.get(c, default) for c in columns}
+    # what fills or replaces a cell is one value a task; what is appended, its different values in order
+    order = F.struct(ROW_ID, "match_id")
+    held = {c: F.when(filled(c), order) for c in columns}
+    aggs = [(F.max_by if rule[c] == "keep_theirs" else F.min_by)(trim(c), held[c]).alias(f"_v{i}") for i, c in enumerate(columns) if rule[c] in ("keep_ours", "keep_theirs")]
+    matched = rows.where("target is not null")
+    updates = matched.groupBy("target").agg(F.lit(True).alias("_is"), *aggs)
+    joined = [(i, c) for i, c in enumerate(columns) if rule[c] == "append"]
+    if joined:
+        values = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), trim(c).alias("v")) for i, c in joined]), lambda x: x["v"] != "")
+        each = matched.select("target", order.alias("o"), F.explode(values).alias("x")).groupBy("target", "x.i", "x.v").agg(F.min("o").alias("o"))
+        told = each.groupBy("target").agg(F.array_sort(F.collect_list(F.struct("o", "i", "v"))).alias("_in"))
+        updates = updates.join(told, "target", "left")
     merged = existing.join(updates, F.col(ROW_ID) == F.col("target"), "left")
     out = {}
     for i, c in enumerate(columns):
-        s = strategies.get(c, default)
-        start = cell(c) if c in existing.columns else F.lit("")
-        fold = F.aggregate(F.col("_in"), start, _applied(f"c{i}", s))
-        out[c] = F.when(F.col("_in").isNull(), start).otherwise(fold)
-    merged = merged.withColumns(out).drop("_in", "target")
+        ours = cell(c) if c in existing.columns else F.lit("")
+        if rule[c] == "append":
+            # a value that came before is held by then; the first step alone may find an empty cell
+            new = F.aggregate(F.filter("_in", _of_column(i)), ours, lambda acc, x: combined(acc, x["v"], "append"))
+            new = F.when(F.col("_in").isNull() | ~F.exists("_in", _of_column(i)), trim(ours)).otherwise(new)
+        else:
+            theirs = F.lit("") if rule[c] == "skip" else F.coalesce(f"_v{i}", F.lit(""))
+            new = combined(ours, theirs, rule[c])
+        out[c] = F.when(F.col("_is"), new).otherwise(ours)
+    merged = merged.withColumns(out).drop("target", "_is", "_in", *[f"_v{i}" for i in range(len(columns))])
     base = existing.agg(F.coalesce(F.max(ROW_ID) + 1, F.lit(0).cast("long")).alias("_base"))
     new = rows.where("target is null").select(ROW_ID, *[F.col(f"`{c}`") for c in columns]).crossJoin(F.broadcast(base))
     new = new.withColumn(ROW_ID, F.col(ROW_ID) + F.col("_base")).drop("_base")

@@ -44,12 +44,14 @@ def site_texts(rows: DataFrame, pages: DataFrame, mode: str = "both", subpages:
     ``subpages`` candidates (usual paths, then links; ``mode`` homepage, fixed, links
     or both).  Candidates are capped before they are looked up: a page that is not
     there uses up its place.  App pages give their description.  Rows without a
-    stored homepage are absent; short texts do not count."""
+    stored homepage, or with an app page that has no description, are absent; short texts do not count."""
     sites = rows.select(ROW_ID, with_scheme(WEBSITE).alias("url")).where("url <> ''")
     got = pages.groupBy("url").agg(F.min_by(F.struct("page_id", "html"), "page_id").alias("page")).select("url", "page.page_id", "page.html")
     homes = sites.join(got, "url")
     store = app_store("url")
     home = homes.select(ROW_ID, F.lit(0).alias("place"), F.when(store.isNotNull(), F.lower(H.description("html"))).otherwise(H.page_text("html")).alias("t"))
+    # an app page without a description is a page that could not be read
+    home = home.join(homes.where(store.isNotNull() & (H.description("html") == "")).select(ROW_ID), ROW_ID, "left_anti")
     crawled = homes.where(store.isNull())
     origin = F.regexp_extract("url", "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     found = []

@@ -32,7 +32,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
         QUERIES[f.__name__] = f
         if sql:
-            named = {"catalog": D.CATALOG, "incoming": D.INCOMING, "chains": D.CHAINS, "entries": D.ENTRIES}
+            named = {"catalog": D.CATALOG, "incoming": D.INCOMING, "chains": D.CHAINS, "entries": D.ENTRIES, "protocols": D.PROTOCOLS}
             text = sql
             for k, v in named.items():
                 text = text.replace("{" + k + "}", f"({v})")
@@ -722,6 +722,81 @@ def fill_empty_enrich(spark, d):
     return match.fill_empty(rows, details, ["website"]).select("row_id", "website")
 
 
+@query(f"""
+WITH m AS (SELECT i.*, t.target FROM {{incoming}} i LEFT JOIN (SELECT b.row_id, b.best.m AS match_id FROM ({MATCHED}) b) x ON x.row_id = i.row_id
+  LEFT JOIN (SELECT a.row_id AS match_id, CASE WHEN trim(a.name) <> '' THEN b.last ELSE a.row_id END AS target FROM {{catalog}} a JOIN (SELECT lower(trim(name)) AS l, max(row_id) AS last FROM {{catalog}} GROUP BY 1) b ON b.l = lower(trim(a.name))) t ON t.match_id = x.match_id),
+f AS (SELECT target, list(notes ORDER BY row_id) AS ns, list(source ORDER BY row_id) AS ss FROM m WHERE target IS NOT NULL GROUP BY target)
+SELECT c.row_id, c.name, CASE WHEN f.target IS NULL THEN c.notes ELSE list_reduce(list_prepend(trim(c.notes), ns), lambda a, b: CASE WHEN b = '' THEN a WHEN a = '' THEN b WHEN contains(a, b) THEN a ELSE concat(a, '; ', b) END) END AS notes,
+  CASE WHEN f.target IS NULL THEN c.source ELSE list_reduce(list_prepend(trim(c.source), ss), lambda a, b: CASE WHEN b = '' THEN a WHEN a = '' THEN b WHEN contains(a, b) THEN a ELSE concat(a, '; ', b) END) END AS source, c.category FROM {{catalog}} c LEFT JOIN f ON f.target = c.row_id
+UNION ALL SELECT row_id + (SELECT max(row_id) + 1 FROM {{catalog}}), name, notes, source, category FROM m WHERE target IS NULL
+""")
+def merge_append(spark, d):
+    incoming, existing = _pair(spark, d)
+    found = match.best_name_match(_names(incoming), _names(existing), fuzzy=False).select(F.col("id").alias("row_id"), "match_id")
+    found = incoming.select("row_id").join(found, "row_id", "left")
+    out = merge.upsert(existing, incoming, found, {S.NAME: "keep_ours", S.CATEGORY: "skip"})
+    return out.select("row_id", *[S.cell(c).alias(n) for n, c in (("name", S.NAME), ("notes", S.NOTES), ("source", S.SOURCE), ("category", S.CATEGORY))])
+
+
+@query("""
+SELECT row_id, "column", ours, theirs, strategy, CASE strategy WHEN 'keep_ours' THEN CASE WHEN ours <> '' THEN ours ELSE theirs END WHEN 'keep_theirs' THEN CASE WHEN theirs <> '' THEN theirs ELSE ours END WHEN 'skip' THEN ours
+  ELSE CASE WHEN theirs = '' THEN ours WHEN ours = '' THEN theirs WHEN contains(ours, theirs) THEN ours ELSE concat(ours, '; ', theirs) END END AS resolved
+FROM (SELECT i.row_id, unnest(['Project Name', 'Website', 'Category', 'Source', 'Notes']) AS "column", unnest(['keep_ours', 'keep_theirs', 'append', 'skip', 'append']) AS strategy,
+  unnest([e.name, e.website, e.category, e.source, trim(e.notes)]) AS ours, unnest([i.name, i.website, i.category, i.source, i.notes]) AS theirs FROM {incoming} i JOIN {catalog} e ON e.row_id = i.row_id) WHERE ours <> theirs
+""")
+def import_preview(spark, d):
+    columns = [S.NAME, S.WEBSITE, S.CATEGORY, S.SOURCE, S.NOTES, S.CHAIN]
+    incoming, existing = _pair(spark, d)
+    own = lambda df, n: df.select("row_id", F.struct(*[F.col(f"`{c}`").alias(c) for c in columns]).alias(n))
+    pairs = own(existing, "ours").join(own(incoming, "theirs"), "row_id")
+    rules = {S.NAME: "keep_ours", S.WEBSITE: "keep_theirs", S.SOURCE: "skip"}
+    return merge.preview(pairs, columns, rules, computed=(S.CHAIN,)).select("row_id", "column", "ours", "theirs", "strategy", "resolved")
+
+
+@query(f"""
+SELECT count(*) FILTER (NOT skip AND id IS NULL) AS new_rows, count(*) FILTER (NOT skip AND id IS NOT NULL) AS merged_rows, count(*) FILTER (skip) AS skipped_rows FROM (
+  SELECT i.row_id, i.row_id % 7 = 0 AS skip, coalesce(m.best.m, u.id) AS id FROM (SELECT row_id, {URLKEY.format('website')} AS k FROM {{incoming}}) i LEFT JOIN ({MATCHED}) m ON m.row_id = i.row_id
+  LEFT JOIN (SELECT {URLKEY.format('website')} AS k, max(row_id) AS id FROM {{catalog}} WHERE website <> '' GROUP BY 1) u ON u.k = i.k AND i.k <> '')
+""")
+def import_counts(spark, d):
+    incoming, existing = _pair(spark, d)
+    return merge.match_counts(match.import_matches(incoming, existing, fuzzy=False), incoming.where("row_id % 7 = 0").select("row_id"))
+
+
+@query(f"""
+SELECT arg_min(row_id, row_id) AS row_id, arg_min(trim(name), row_id) AS name, arg_min(url, row_id) AS website, arg_min(CASE WHEN twitter = '' THEN '' ELSE concat('@', twitter) END, row_id) AS handle,
+  arg_min(CASE WHEN twitter = '' THEN '' ELSE concat('https://x.com/', twitter) END, row_id) AS link, arg_min(category, row_id) AS category, arg_min(CASE WHEN tvl > 0 THEN concat('TVL: $1,', CAST(CAST(tvl AS BIGINT) // 1000 - 1000 AS VARCHAR), ',', lpad(CAST(CAST(tvl AS BIGINT) % 1000 AS VARCHAR), 3, '0')) ELSE '' END, row_id) AS notes,
+  'DefiLlama' AS source, arg_min(CASE WHEN slug = '' THEN '' ELSE concat('https://defillama.com/protocol/', slug) END, row_id) AS evidence, 'NEAR' AS eco
+FROM (SELECT *, {key('name')} AS k FROM {{protocols}} WHERE trim(name) <> '' AND chain = 'Near') WHERE k NOT IN (SELECT {key('name')} FROM {{catalog}}) GROUP BY k
+""")
+def discover(spark, d):
+    protocols = D.derived(spark, d, D.PROTOCOLS).withColumn("chains", F.when(F.col("chain") == "", F.array().cast("array<string>")).otherwise(F.array("chain"))).drop("chain")
+    found = enrich.discover(D.catalog(spark, d), protocols, "Near")
+    named = {"name": S.NAME, "website": S.WEBSITE, "handle": S.X_HANDLE, "link": S.X_LINK, "category": S.CATEGORY, "notes": S.NOTES, "source": S.SOURCE, "evidence": S.EVIDENCE, "eco": S.CHAIN}
+    return found.select("row_id", *[S.cell(c).alias(n) for n, c in named.items()])
+
+
+@query("""
+SELECT p_partkey AS row_id, CASE WHEN p_partkey % 3 = 0 THEN p_type WHEN p_brand = 'Brand#11' THEN 'one' WHEN p_brand = 'Brand#23' THEN 'two' ELSE '' END AS category,
+  CASE WHEN p_partkey % 2 = 0 THEN 'https://own' WHEN p_brand = 'Brand#11' THEN 'https://first' ELSE '' END AS website FROM part
+""")
+def static_fallback(spark, d):
+    rows = D.base(spark, d, "part").select(
+        F.col("p_partkey").alias("row_id"), F.concat(F.lit(" "), "p_brand").alias("name"), F.when(F.col("p_partkey") % 3 == 0, F.col("p_type")).alias("category"), F.when(F.col("p_partkey") % 2 == 0, "https://own").otherwise(" ").alias("website")
+    )
+    out = match.static_fallback(rows, {"category": {"Brand#11": "one", "Brand#23": "two"}, "website": {"Brand#11": "https://first"}})
+    return out.select("row_id", "category", "website")
+
+
+@query("""
+SELECT o_custkey AS key, max(o_orderkey) AS version, CASE WHEN date_diff('day', CAST(max(o_orderdate) AS DATE), DATE '1998-08-02') <= 30 THEN 'reuse' ELSE 'rebuild' END AS action
+FROM (SELECT o_custkey, o_orderkey, o_orderdate FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1) GROUP BY 1
+""")
+def freshest_versions(spark, d):
+    versions_ = D.base(spark, d, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderkey").alias("version"), F.col("o_orderdate").alias("fetched_at"))
+    return store.freshest(versions_, 30, "timestamp'1998-08-02 00:00:00'", by=["key"]).select("key", "version", "action")
+
+
 # -- registry ---------------------------------------------------------------
 
 
@@ -751,6 +826,17 @@ def registry_batch_domain(spark, d):
     return registry.by_domain(D.catalog(spark, d), _entries(spark, d)).select("row_id", "entry_id", "confidence", "method")
 
 
+@query("""
+SELECT k.row_id, min_by(e.entry_id, struct_pack(a := r.root_id)) AS entry_id, 'twitter' AS method FROM (SELECT row_id, CASE WHEN x_handle LIKE 'https://twitter.com/%' THEN lower(regexp_replace(substr(x_handle, 21), '/+$', '')) ELSE lower(substr(x_handle, 2)) END AS h FROM {catalog} WHERE x_handle <> '') k
+JOIN (SELECT h, min(root_id) AS root_id FROM (SELECT root_id, concat('h', CAST(CAST(substr(entry_id, 2) AS BIGINT) % 700 AS VARCHAR)) AS h FROM {entries}) GROUP BY h) r ON r.h = k.h JOIN {entries} e ON e.root_id = r.root_id GROUP BY k.row_id
+""")
+def registry_handle(spark, d):
+    e = _entries(spark, d)
+    nth = F.expr("cast(substr(entry_id, 2) AS long)")
+    social = e.select("root_id", F.lit("Twitter / X").alias("social_type"), F.concat(F.lit("https://x.com/H"), (nth % 700).cast("string"), F.lit("?s=1")).alias("url"), F.lit("").alias("name"))
+    return registry.by_handle(D.catalog(spark, d), e, social).select("row_id", "entry_id", "method")
+
+
 @query()
 def registry_slug(spark, d):
     return registry.by_slug(D.catalog(spark, d), _entries(spark, d)).select("row_id", "entry_id", F.round("confidence", 6).alias("confidence"))

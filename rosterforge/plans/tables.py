@@ -128,6 +128,14 @@ SELECT page_id, url, concat(html, CASE page_id % 5
   ELSE '<script type="application/json">[{{"name":</script>' END) AS html FROM pages
 """
 
+#: Protocols: repeated names, some of the catalog's, on one chain in two spellings or on none.
+PROTOCOLS = """
+SELECT p_partkey AS row_id, CASE p_partkey % 17 WHEN 0 THEN ' ' WHEN 1 THEN concat(p_name, ' ', CAST(p_partkey % 89 AS STRING)) ELSE concat('Found ', CAST(p_partkey % 611 AS STRING)) END AS name,
+  CASE p_partkey % 4 WHEN 0 THEN '' ELSE concat('s', CAST(p_partkey AS STRING)) END AS slug, concat('https://p', CAST(p_partkey AS STRING), '.example.com/x') AS url,
+  CASE p_partkey % 3 WHEN 0 THEN '' ELSE concat('at', CAST(p_partkey AS STRING)) END AS twitter, p_type AS category, CASE p_partkey % 5 WHEN 0 THEN 0.0 ELSE 1234000.0 + p_size END AS tvl,
+  CASE p_partkey % 3 WHEN 0 THEN 'Near' WHEN 1 THEN 'near' ELSE '' END AS chain FROM part
+"""
+
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -131,11 +131,12 @@ def export(tables: list[DataFrame]) -> DataFrame:
     return out.withColumns({c: cell(c) for c in texts})
 
 
-def freshest(versions: DataFrame, max_age_days: int = 7, now: str = "current_timestamp()") -> DataFrame:
-    """Of snapshot versions (``version, fetched_at``) the newest, and how to use it:
-    reuse while young enough, else rebuild with it as the fallback."""
+def freshest(versions: DataFrame, max_age_days: int = 7, now: str = "current_timestamp()", by: list[str] | None = None) -> DataFrame:
+    """Of snapshot versions (``version, fetched_at``) the newest, for each value of ``by``, and how
+    to use it: reuse while young enough, else rebuild with it as the fallback."""
+    row = F.struct(*versions.columns)
+    newest = versions.groupBy(*(by or [])).agg(F.max_by(row, F.struct("fetched_at", "version")).alias("_r")).where("_r IS NOT NULL").select("_r.*")
     age = F.datediff(F.expr(now), F.col("fetched_at"))
-    newest = versions.orderBy(F.desc("fetched_at"), F.desc("version")).limit(1)
     return newest.withColumn("action", F.when((F.lit(max_age_days) > 0) & (age <= max_age_days), "reuse").otherwise("rebuild"))
 
 

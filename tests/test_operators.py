@@ -339,3 +339,22 @@ def test_arrivals_are_added_once(spark, tmp_path):
         arrivals.append_arrivals(stream, target, str(tmp_path / "cp")).awaitTermination()
         catalog(spark, [{"name": "C"}, {"name": "b"}]).write.mode("append").parquet(source)
     assert sorted(r[S.NAME] for r in spark.read.parquet(target).collect()) == ["A", "B", "C"]
+
+
+def test_one_entity_of_a_third_of_the_rows(spark):
+    rows = [{"name": f"Name {i}", "src": "S"} for i in range(400)]
+    rows += [{"name": "Large" if i % 2 else "LARGE", "src": f"S{i % 3}", "ev": f"e{i % 5} | e{i % 7}", "notes": f"n{i % 2} | tail {i % 4}", "site": "", "usdt": "TRUE" if i == 150 else ""} for i in range(200)]
+    out = {r[S.NAME]: r for r in dedup.survivors(catalog(spark, rows).repartition(6)).collect()}
+    one = out["LARGE"]
+    assert len(out) == 401 and one["merged_rows"] == 200 and one["row_id"] == 400 and one[S.USDT] == "TRUE"
+    assert one[S.SOURCE] == "S0; S1; S2" and one[S.EVIDENCE] == " | ".join(dict.fromkeys(x for i in [150, *(j for j in range(200) if j != 150)] for x in (f"e{i % 5}", f"e{i % 7}")))
+    assert one[S.NOTES].startswith("n0 | tail 2 | ") and one[S.NOTES].endswith("(fuzzy dedup: merged from LARGE; Large | sources: S0; S1; S2)")
+    assert set(one[S.NOTES].split(" | ")[2:-2]) == {"tail 0", "tail 1", "tail 3"}
+
+
+def test_many_incoming_rows_for_one_target(spark):
+    old = catalog(spark, [{"name": "T", "notes": "a", "cat": "", "src": "old"}, {"name": "U", "notes": " u "}])
+    new = catalog(spark, [{"id": i, "name": "T", "notes": f"n{i % 3}", "cat": "" if i < 5 else f"c{i}", "src": f"s{i}" if i % 2 == 0 else ""} for i in range(300)])
+    found = new.select("row_id", F.lit(0).cast("long").alias("match_id"))
+    t, u = merge.upsert(old, new.repartition(5), found, {S.CATEGORY: "keep_ours", S.SOURCE: "keep_theirs", S.WEBSITE: "skip"}).orderBy("row_id").collect()
+    assert (t[S.NOTES], t[S.CATEGORY], t[S.SOURCE], t[S.NAME]) == ("a; n0; n1; n2", "c5", "s298", "T") and u[S.NOTES] == " u "
