@@ -10,12 +10,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def ratio(a: Column, b: Column) -> Column:
-    """difflib's similarity of two strings, in this order (it is not symmetric); null is empty."""
+def ratios(a: list[str], b: list[str], least: float = 0.0) -> list[float]:
+    """difflib's similarity of each pair, in this order (it is not symmetric); 0 where it is
+    certainly not above ``least``.
+
+    A pair's shared characters bound its matching blocks, so most unlike pairs need
+    no blocks.  Pairs of one right string come together, as difflib's index of that
+    string is most of a comparison's cost; each different pair is compared once."""
+    known: dict[tuple[str, str], float] = {}
+    m, right = SequenceMatcher(None), None
+    for x, y in sorted(set(zip(a, b, strict=True)), key=lambda p: p[1]):
+        if y != right:
+            m.set_seq2(y)
+            right = y
+        m.set_seq1(x)
+        far = least > 0 and (m.real_quick_ratio() <= least or m.quick_ratio() <= least)
+        known[x, y] = 0.0 if far else m.ratio()
+    return [known[p] for p in zip(a, b, strict=True)]
+
+
+def ratio(a: Column, b: Column, least: float = 0.0) -> Column:
+    """``ratios`` as a column; null is empty."""
 
     @F.pandas_udf("double")
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([SequenceMatcher(None, i or "", j or "").ratio() for i, j in zip(x, y, strict=True)], dtype="float64")
+        return pd.Series(ratios(x.fillna("").tolist(), y.fillna("").tolist(), least), dtype="float64")
 
     return run(a, b)
 

@@ -107,7 +107,7 @@ def key_scores(left: DataFrame, right: DataFrame, threshold: float = 0.8, fuzzy:
         # shortcuts on long strings)
         whole = inside & (F.length("b") < 200)
         asked = [F.when(whole, F.lit("")).otherwise(F.col(k)) for k in ("a", "b")]
-        pairs = pairs.withColumn("_ratio", kernels.ratio(*asked))
+        pairs = pairs.withColumn("_ratio", kernels.ratio(*asked, threshold))
         r = F.when(whole, 2.0 * F.least(F.length("a"), F.length("b")) / (F.length("a") + F.length("b"))).otherwise(F.col("_ratio"))
         score = F.greatest(score, F.when(r > threshold, r))
     return equal.unionByName(pairs.select("a", "b", score.alias("score")).where("score is not null"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from rosterforge.functions import evidence
 from rosterforge.functions.text import category_list, percent, title
@@ -148,6 +149,51 @@ def summary_view(df: DataFrame) -> DataFrame:
     )
 
 
+def dashboard(df: DataFrame, sources: int = 20, categories: int = 15) -> DataFrame:
+    """``report, item, n, pct``: all counts of the result page from one scan.
+
+    Each row says which items it counts for; they are counted together, within tasks
+    first, so the scan and the shuffle are one for all reports.  Items that no row
+    counts for are rows with 0; sources and categories are the most frequent ones, ties
+    to the first seen.  ``pct`` is the share of all rows, of matched rows for ``status``
+    and ``method``."""
+    state = evidence.health_status(EVIDENCE)
+    kinds = F.transform(evidence.segments(EVIDENCE), evidence.kind)
+    of = {k: F.array_contains("_kinds", k) for k in ("grid", "defillama", "coingecko", "website")}
+    found = cell(NOTES).contains(evidence.UNVERIFIED)
+    text = F.substring(cell(NOTES), F.instr(cell(NOTES), evidence.UNVERIFIED), F.length(cell(NOTES)))
+    fixed = {
+        "kpi": {"total": F.lit(True), "with_website": filled(WEBSITE), "with_x": filled(X_LINK) | filled(X_HANDLE), "with_telegram": filled(TELEGRAM), "with_category": filled(CATEGORY), "matched": is_matched(), "with_evidence": filled(EVIDENCE),
+                "skipped": is_true("Skip"), "added": is_true("Added"), "processed": is_true("Processed?"), "in_admin": is_true("In Admin")},
+        "flag": {"suspect_usdt": is_true(USDT), "web3_no_stablecoin": is_true(WEB3), "general_stablecoin": is_true(STABLE)},
+        "evidence": of | {"no_evidence": ~(of["grid"] | of["defillama"] | of["coingecko"] | of["website"])},
+        "scan": {"hits": found} | {a.lower(): found & F.col("_scan").contains(f"{a} keywords") for a in TICKERS} | {"stablecoin": found & F.col("_scan").contains("stablecoin mentions"), "web3": found & F.lower("_scan").contains("web3")},
+        "health": {x: F.col("_state") == x for x in ["alive", *DEAD]} | {"no_url": ~filled(WEBSITE), "unchecked": filled(WEBSITE) & (F.col("_state") == "")},
+    }
+
+    def item(report: str, name: Column, place: Column = F.lit(0)) -> Column:
+        return F.struct(F.lit(report).alias("report"), name.alias("item"), place.alias("p"))
+
+    once = [F.when(c, item(r, F.lit(k))) for r, items in fixed.items() for k, c in items.items()]
+    matched = [F.when(is_matched(), item(r, F.when(filled(c), trim(c)).otherwise("(none)"))) for r, c in (("status", STATUS), ("method", VIA))]
+    lists = [F.transform(items, _listed(r)) for r, items in (("source", category_list(SOURCE)), ("category", F.transform(category_list(CATEGORY), title)))]
+    rows = df.withColumns({"_kinds": kinds, "_state": state, "_scan": text})
+    said = rows.select(ROW_ID, F.explode(F.concat(F.array_compact(F.array(*once, *matched)), *lists)).alias("x"))
+    counts = said.groupBy("x.report", "x.item").agg(F.count("*").alias("n"), F.min(F.struct(F.col(ROW_ID), F.col("x.p").alias("p"))).alias("_first"))
+    zeros = df.sparkSession.createDataFrame([(r, k) for r, items in fixed.items() for k in items], "report string, item string")
+    counts = counts.unionByName(zeros.withColumn("n", F.lit(0).cast("long")), allowMissingColumns=True).groupBy("report", "item").agg(F.sum("n").alias("n"), F.min("_first").alias("_first"))
+    of_report = W.partitionBy("report")  # a row for each item, not for each row of the table
+    everything = W.partitionBy(F.lit(0))
+    total, all_matched = (F.max(F.when((F.col("report") == "kpi") & (F.col("item") == k), F.col("n"))).over(everything) for k in ("total", "matched"))
+    ranked = counts.withColumns({"_nth": F.row_number().over(of_report.orderBy(F.desc("n"), "_first")), "_all": F.when(F.col("report").isin("status", "method"), all_matched).otherwise(total)})
+    kept = ranked.where(~((F.col("report") == "source") & (F.col("_nth") > sources)) & ~((F.col("report") == "category") & (F.col("_nth") > categories)))
+    return kept.select("report", "item", "n", percent(F.col("n"), F.col("_all")).alias("pct"))
+
+
+def _listed(report: str):
+    return lambda v, i: F.struct(F.lit(report).alias("report"), v.alias("item"), i.alias("p"))
+
+
 def sorted_by(df: DataFrame, column: str, descending: bool = False) -> DataFrame:
     """Rows of a table view by a column's text in any case, ties by row."""
     key = F.lower(cell(column))

@@ -507,6 +507,30 @@ def scan_hits(spark, d):
     return reports.scan_hits(D.catalog(spark, d))
 
 
+#: One-row reports in long form, by their columns.
+_LONG = {
+    "kpi": ("summary_kpis", "total with_website with_x with_telegram with_category matched with_evidence skipped added processed in_admin"),
+    "flag": ("flag_counts", "suspect_usdt web3_no_stablecoin general_stablecoin"),
+    "evidence": ("evidence_coverage", "grid defillama coingecko website no_evidence"),
+    "scan": ("scan_hits", "hits usdt usdc sol strk ada apt eth btc stablecoin web3"),
+    "health": ("health_rollup", "alive dead timeout dns_fail error no_url unchecked"),
+}
+
+
+def _long(report: str) -> str:
+    name, columns = _LONG[report]
+    return " UNION ALL ".join(f"SELECT '{report}' AS report, '{c}' AS item, CAST({c} AS BIGINT) AS n FROM ({SQL[name]})" for c in columns.split())
+
+
+@query(
+    " UNION ALL ".join(map(_long, _LONG))
+    + "".join(f" UNION ALL SELECT '{x}', {x}, n FROM ({SQL[f'{x}_breakdown']})" for x in ("source", "category"))
+    + f" UNION ALL SELECT dimension, value, n FROM ({SQL['match_status']}) WHERE dimension <> 'total'"
+)
+def dashboard(spark, d):
+    return reports.dashboard(D.catalog(spark, d)).select("report", "item", "n")
+
+
 @query("""
 SELECT DISTINCT 'category' AS field, trim(unnest(string_split(category, ';'))) AS value FROM {catalog} WHERE category <> ''
 UNION ALL SELECT DISTINCT 'source', trim(unnest(string_split(source, ';'))) FROM {catalog}
