@@ -15,6 +15,7 @@ meets everything else in its lists, so no link between components is lost.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -39,11 +40,13 @@ OFTEN = 16
 #: another order: their lists are found by length, and results do not change.
 MOST = 1_000_000
 #: Shingles that a task gathers before it passes their counts on, and text per part of the counts.
-GATHERED, PART_CHARS = 4_000_000, 16_000_000
-#: Row keys up to which the candidates' texts are found by broadcast.
+GATHERED, PART_CHARS = 2_000_000, 16_000_000
+#: Row keys or pairs up to which the candidates' texts and sets are found by broadcast.
 BROADCAST_ROWS = 1_000_000
-#: Comparisons per member at which the rounds over common lists end.
-PER_MEMBER = 16
+#: Meetings per member, before sizes and places are looked at, at which the rounds over common lists end.
+PER_MEMBER = 500
+#: Buckets in which a set's elements are counted: two sets share at most what their buckets do.
+BUCKETS = 256
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -52,17 +55,28 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 
 
 def _codes(h: np.ndarray, parts: int) -> np.ndarray:
-    """Shingles by the part that counts them and 32 more bits."""
+    """Shingles by the part that counts them and one of its 2^24 slots (some 3 million
+    shingles fall to a part whatever the input, so few share a slot)."""
     p = np.uint64(parts)
-    return (h % p << np.uint64(32)) | (h // p & np.uint64(0xFFFFFFFF))
+    return (h % p << np.uint64(32)) | (h // p & np.uint64(0xFFFFFF))
+
+
+def _packed(slots: np.ndarray) -> bytes:
+    """Rising slots as their steps, byte by byte of all: the upper bytes are mostly zero."""
+    steps = np.diff(slots, prepend=np.uint32(0)).astype(np.uint32)
+    return zlib.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel(), dtype=np.uint32)
 
 
 def common_shingles(docs: DataFrame, text: str, words: int) -> tuple[int, np.ndarray, np.ndarray, bool]:
     """(parts, sorted codes of shingles of more than ``OFTEN`` documents, log2 of their
     document counts, whether only the ``MOST`` most common are told).
 
-    All documents are counted.  A task merges what repeats before it passes on 4
-    bytes a shingle, in blocks by part, so that a shingle of every document is one
+    All documents are counted.  A task merges what repeats before it passes on
+    packed slots, in blocks by part, so that a shingle of every document is one
     entry per task."""
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     parts = max(64, chars // PART_CHARS)
@@ -75,7 +89,7 @@ def common_shingles(docs: DataFrame, text: str, words: int) -> tuple[int, np.nda
             rows = []
             for p, a, b in zip(own.tolist(), ends.tolist(), [*ends[1:].tolist(), len(part)], strict=True):
                 r, c = rest[a:b], n[a:b]
-                rows.append((p, r[c == 1].tobytes(), r[c > 1].tobytes(), c[c > 1].astype(np.uint32).tobytes()))
+                rows.append((p, _packed(r[c == 1]), _packed(r[c > 1]), c[c > 1].astype(np.uint32).tobytes()))
             return pd.DataFrame(rows, columns=["part", "once", "more", "n"])
 
         sets, size = [], 0
@@ -90,8 +104,8 @@ def common_shingles(docs: DataFrame, text: str, words: int) -> tuple[int, np.nda
             yield merged(sets)
 
     def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        one = np.frombuffer(b"".join(rows["once"]), np.uint32)
-        more, n = np.frombuffer(b"".join(rows["more"]), np.uint32), np.frombuffer(b"".join(rows["n"]), np.uint32)
+        one, more = (np.concatenate([_unpacked(x) for x in rows[c]]) for c in ("once", "more"))
+        n = np.frombuffer(b"".join(rows["n"]), np.uint32)
         ids, at = np.unique(np.concatenate((one, more)), return_inverse=True)
         sums = np.bincount(at, np.concatenate((np.ones(len(one)), n)), len(ids))
         often = sums > OFTEN
@@ -164,7 +178,7 @@ def boundary(kinds: DataFrame, similar: tuple[int, int]) -> int:
     best, at = cost, 0
     for r in steps:  # at most 4 rows a doubling of the longest text
         cost += r["subsets"] - r["lists"]
-        best, at = min((best, at), (cost, r["n"]))
+        best, at = (cost, r["n"]) if cost <= best else (best, at)
     return at
 
 
@@ -185,22 +199,24 @@ def _keys(kinds: DataFrame, most: int, similar: tuple[int, int]) -> DataFrame:
 
 
 def _meet(left: DataFrame, right: DataFrame, similar: tuple[int, int], on: list[str]) -> DataFrame:
-    """``u, v``, u > v: members of one list whose sizes and places let them be alike."""
+    """``u, v``, u > v, and ``spare``, how far their bound is above what they need: members of
+    one list whose sizes and places let them be alike."""
     names = ("s", "n", "reach", "large")
     a, b = (df.select(*on, *[F.col(c).alias(f"{c}_{x}") for c in names]) for df, x in ((left, "a"), (right, "b")))
-    fits = (similar[0] + similar[1]) * F.least("reach_a", "reach_b") >= similar[0] * (F.col("n_a") + F.col("n_b"))
-    met = a.join(b, on).where((F.col("s_a") != F.col("s_b")) & (F.col("large_a") | F.col("large_b")) & fits)
-    return met.select(F.greatest("s_a", "s_b").alias("u"), F.least("s_a", "s_b").alias("v"))
+    spare = (similar[0] + similar[1]) * F.least("reach_a", "reach_b") - similar[0] * (F.col("n_a") + F.col("n_b"))
+    met = a.join(b, on).where((F.col("s_a") != F.col("s_b")) & (F.col("large_a") | F.col("large_b")) & (spare >= 0))
+    return met.select(F.greatest("s_a", "s_b").alias("u"), F.least("s_a", "s_b").alias("v"), spare.alias("spare"))
 
 
 def links(docs: DataFrame, kinds: DataFrame, partly: bool, key: str, text: str, words: int, similar: tuple[int, int]) -> DataFrame:
     """``(u, v)``, u > v: sets that are alike; their components are those of all such pairs.
 
-    Pairs from rare keys are compared star by star, then the rest of them between
-    components.  In the lists of common keys, members meet a leader, the one with
-    the longest reach; those outside their list's largest component then meet eight
-    times as many leaders a round, until comparing them with all others costs
-    ``PER_MEMBER`` a member, which is done."""
+    First every set is compared with its likeliest partner of those that share a rare key
+    with it and of the leaders of its common keys' lists (a list's leader has the
+    longest reach).  Then the other such pairs that are not joined yet are compared, and
+    at last the members outside their list's largest component with all
+    others of the list.  If those meetings exceed ``PER_MEMBER`` a member, they meet 8, 64,
+    ... leaders a list before, which joins most of them."""
     most = boundary(kinds, similar)
     rows = _keys(kinds, most, similar)
     rare, often = rows.where(~F.col("often")), rows.where("often")
@@ -208,8 +224,7 @@ def links(docs: DataFrame, kinds: DataFrame, partly: bool, key: str, text: str,
         long = rare.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > OFTEN).select("key")
         often = often.unionByName(rare.join(long, "key", "left_semi"))
         rare = rare.join(long, "key", "left_anti")
-    other = rare.select("*")
-    few = cut(_meet(rare, other, similar, ["key"]).distinct())
+    few = cut(_meet(rare, rare, similar, ["key"]).groupBy("u", "v").agg(F.max("spare").alias("spare")))
     often = stored(often.drop("often"))
     sizes = often.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     members = stored(often.join(sizes, "key"))
@@ -218,7 +233,7 @@ def links(docs: DataFrame, kinds: DataFrame, partly: bool, key: str, text: str,
     sets = _sets(docs, kinds.join(wanted, "s").select("s", "_row"), key, text, words)
     found: list[DataFrame] = []
     label = sets.select("s", F.col("s").alias("c")).limit(0)
-    done = few.limit(0)
+    done = few.select("u", "v").limit(0)
 
     def component(df: DataFrame, s: str, c: str) -> DataFrame:
         return df.join(label.select(F.col("s").alias(s), F.col("c").alias("_c")), s, "left").withColumn(c, F.coalesce("_c", s)).drop("_c")
@@ -226,15 +241,33 @@ def links(docs: DataFrame, kinds: DataFrame, partly: bool, key: str, text: str,
     def apart(pairs: DataFrame) -> DataFrame:
         return component(component(pairs, "u", "cu"), "v", "cv").where("cu != cv").select("u", "v")
 
+    def of(pairs: DataFrame, side: str, few: bool) -> DataFrame:
+        """The sets at one side of the pairs; others are not shuffled."""
+        ids = pairs.select(side).distinct()
+        return sets.withColumnRenamed("s", side).join(F.broadcast(ids) if few else ids, side, "left_semi")
+
+    def joined(pairs: DataFrame, few: bool, column: str) -> DataFrame:
+        a = of(pairs, "u", few).select("u", F.col(column).alias("a"))
+        return pairs.join(a, "u").join(of(pairs, "v", few).select("v", F.col(column).alias("b")), "v")
+
     def compare(pairs: DataFrame) -> None:
-        """Finds the links among pairs that are neither joined nor compared yet, and the components then."""
-        nonlocal label, done
-        pairs = cut(apart(pairs.distinct()).join(done, ["u", "v"], "left_anti"))
-        both = F.size(F.array_intersect("a", "items"))
-        full = pairs.join(sets.select(F.col("s").alias("u"), F.col("items").alias("a")), "u").join(sets.withColumnRenamed("s", "v"), "v")
-        alike = similar[1] * both >= similar[0] * (F.size("a") + F.size("items") - both)
-        found.append(cut(full.where(alike).select("u", "v")))
+        """Finds the links among pairs that are neither joined nor compared yet."""
+        nonlocal done
+        pairs = cut(apart(pairs.select("u", "v").distinct()).join(done, ["u", "v"], "left_anti"))
         done = done.unionAll(pairs)
+
+        def alike(both: Column, all_: Column) -> Column:
+            return similar[1] * both >= similar[0] * (all_ - both)
+
+        total = lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + x)
+        most = total(F.zip_with("a", "b", lambda x, y: F.least(x, y)))
+        close = joined(pairs, pairs.count() <= BROADCAST_ROWS, "counts").where(alike(most, total(F.col("a")) + total(F.col("b"))))
+        close = cut(close.select("u", "v"))
+        full = joined(close, close.count() <= BROADCAST_ROWS, "items")
+        found.append(cut(full.where(alike(F.size(F.array_intersect("a", "b")), F.size("a") + F.size("b"))).select("u", "v")))
+
+    def relabel() -> None:
+        nonlocal label
         label = connected_components(reduce(DataFrame.unionAll, found)).select(F.col("node").alias("s"), F.col("root").alias("c"))
 
     def led(left: DataFrame, leaders: int) -> DataFrame:
@@ -251,32 +284,46 @@ def links(docs: DataFrame, kinds: DataFrame, partly: bool, key: str, text: str,
         return cut(own.join(largest, "key").where("comp != top").drop("top", "k"))
 
     one = led(members, 1)
-    star = few.unionAll(one).groupBy("u").agg(F.min("v").alias("v"))
-    compare(star)
-    compare(few.unionAll(one))
+    both = few.unionAll(one)
+    ends = both.select(F.col("u").alias("s"), "u", "v", "spare").unionAll(both.select("v", "u", "v", "spare"))
+    compare(ends.groupBy("s").agg(F.max(F.struct("spare", "u", "v")).alias("x")).select("x.u", "x.v"))
+    relabel()
+    compare(both)
+    relabel()
     n, leaders = members.count(), 8
     left = left_over()
-    while (left.agg(F.sum("c")).first()[0] or 0) > PER_MEMBER * n:
-        if leaders >= members.agg(F.max("c")).first()[0]:
-            break
+    while (left.agg(F.sum("c")).first()[0] or 0) > PER_MEMBER * n and leaders < members.agg(F.max("c")).first()[0]:
         compare(led(left, leaders))
+        relabel()
         left, leaders = left_over(), leaders * 8
     compare(_meet(left, members, similar, ["key"]))
     return reduce(DataFrame.unionAll, found)
 
 
 def _sets(docs: DataFrame, rows: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``s, items`` for the texts of ``rows(s, _row)``."""
+    """``s, items, counts`` for the texts of ``rows(s, _row)``: a set's elements, and how many fall to each bucket."""
 
-    @F.pandas_udf("array<long>")
-    def items(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("items array<long>, counts array<int>")
+    def items(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.Series([shingle_set(t, words).view(np.int64) for t in texts])
+            sets = [shingle_set(t, words) for t in texts]
+            counts = [np.bincount((x % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS).astype(np.int32) for x in sets]
+            yield pd.DataFrame({"items": [x.view(np.int64) for x in sets], "counts": counts})
 
     rows = cut(rows)
     rows = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
     texts = docs.select(row_key(key, text).alias("_row"), F.col(text).alias("_text")).join(rows, "_row")
-    return stored(texts.groupBy("s").agg(F.first("_text").alias("_text")).select("s", items("_text").alias("items")))
+    return stored(texts.groupBy("s").agg(F.first("_text").alias("_text")).select("s", items("_text").alias("x")).select("s", "x.*"))
+
+
+def linked(docs: DataFrame, text: str, key: str, words: int, similar: tuple[int, int]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows (``_key, _row, s, n``: hash and size of each row's set), the different sets
+    (``s, n, low``: with their smallest key) and ``node, root`` of those sets that are not their component's root."""
+    marked, partly = _marked(docs, key, text, words, similar)
+    kinds = marked.groupBy("s").agg(*[F.first(c).alias(c) for c in ("n", "pre", "rare")], F.min("_row").alias("_row"), F.min("_key").alias("low"))
+    kinds = stored(kinds)
+    stars = connected_components(links(docs, kinds.where("n > 0"), partly, key, text, words, similar))
+    return marked.select("_key", "_row", "s", "n"), kinds.select("s", "n", "low"), stars
 
 
 def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, similar: tuple[int, int] = SIMILAR) -> DataFrame:
@@ -289,11 +336,7 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     Null keys get their component's id (null only if it has no other).  Repeated
     rows stay; an empty table gives no rows; more columns are not looked at.
     Shingles are compared by 64-bit hashes."""
-    marked, partly = _marked(docs, key, text, words, similar)
-    kinds = stored(
-        marked.where("n > 0").groupBy("s").agg(*[F.first(c).alias(c) for c in ("n", "pre", "rare")], F.min("_row").alias("_row"), F.min("_key").alias("low"))
-    )
-    stars = connected_components(links(docs, kinds, partly, key, text, words, similar))
+    marked, kinds, stars = linked(docs, text, key, words, similar)
     rooted = kinds.join(stars, kinds["s"] == stars["node"], "left").select("s", "low", F.coalesce("root", "s").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     of = rooted.join(ids, "root").select("s", "component_id")
