@@ -108,13 +108,13 @@ def mix(docs: DataFrame, size: str, members: Column, order: Column, weights: tup
     Rows without words take 0.  Equal orders are settled by size; rows equal in both are
     interchangeable.  No rows give no rows and no targets."""
     name = F.transform(members, lambda s: F.coalesce(F.concat(F.lit("="), s), F.lit("-")))
-    marked = docs.withColumns({"_p": F.concat_ws("\x1f", F.array_sort(F.array_distinct(name))), "_o": order})
+    marked = docs.withColumns({"_p": F.array_sort(F.array_distinct(name)), "_o": order})
     marked = cut(marked.withColumn("_b", F.pmod(F.shiftright("_o", 16), F.lit(BINS))))
     bins = marked.groupBy("_p", "_b").agg(F.sum(size).alias("n"))
     bins = cut(bins.withColumn("hi", F.sum("n").over(W.partitionBy("_p").orderBy("_b"))))
 
-    totals = [(r["_p"], r["n"]) for r in bins.groupBy("_p").agg(F.sum("n").alias("n")).orderBy("_p").collect()]
-    decode = lambda p: [None if s == "-" else s[1:] for s in p.split("\x1f")] if p else []
+    totals = [(tuple(r["_p"]), r["n"]) for r in bins.groupBy("_p").agg(F.sum("n").alias("n")).orderBy("_p").collect()]
+    decode = lambda p: [None if s == "-" else s[1:] for s in p]
     sizes: dict[str | None, int] = {}
     for p, n in totals:
         for s in decode(p):
@@ -129,8 +129,8 @@ def mix(docs: DataFrame, size: str, members: Column, order: Column, weights: tup
     )
     spark = docs.sparkSession
     ends = spark.createDataFrame(
-        [(p, lap, min(max(flow[i] - lap * n, 0.0), float(n))) for i, (p, n) in enumerate(totals) for lap in range(repeats)],
-        "_p string, lap int, upto double",
+        [(list(p), lap, min(max(flow[i] - lap * n, 0.0), float(n))) for i, (p, n) in enumerate(totals) for lap in range(repeats)],
+        "_p array<string>, lap int, upto double",
     )
     # the bin in which each repetition ends: the first whose sum passes the end
     near = bins.join(F.broadcast(ends) if len(totals) <= BROADCAST_PATTERNS else ends, "_p").where("hi >= upto")

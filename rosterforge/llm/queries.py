@@ -31,7 +31,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken, sizes, targets = mixing.mix(docs, "size", F.array("source"), order, whole=False)
     of = spark.createDataFrame([(s, n, float(targets[s])) for s, n in sizes.items()], "s string, source_size long, target double")
     of = F.broadcast(of) if len(sizes) <= mixing.BROADCAST_PATTERNS else of
-    return taken.join(of, F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "size", "source_size", "target", "taken")
+    return taken.join(of, F.col("source").eqNullSafe(F.col("s")), "left").select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

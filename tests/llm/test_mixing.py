@@ -87,3 +87,17 @@ def test_word_count(spark):
     texts = ["", None, " ", "a", " a b\t\nc ", "a b c", "\x1ca b"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(word_count(F.col("t")).alias("n"))
     assert [r.n for r in df.collect()] == [0, 0, 0, 1, 3, 2, 2]
+
+
+def test_word_count_at_odd_line_ends_and_long_runs(spark):
+    texts = ["a  ", "a \x85", "one two  ", "\n", "a\n", "a" + " " * 1_000_000 + "b", "w" * 1_000_000 + " x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(word_count(F.col("t")).alias("n"))
+    assert [r.n for r in df.collect()] == [2, 2, 3, 0, 1, 2, 2]
+
+
+def test_sources_with_any_character(spark, make):
+    names = ["a\x1fb", "a", "=b", "-", "", None, "b", *[f"s{chr(i)}" for i in range(32)]]
+    rows = [(i, "one two three", "en", s) for i, s in enumerate(names)]
+    taken, sizes, targets = mixed(make(rows))
+    assert sorted(str(r.source) for r in taken.collect()) == sorted(map(str, names))
+    assert sizes == dict.fromkeys(names, 3) and set(targets) == set(names)
