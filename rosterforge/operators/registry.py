@@ -14,6 +14,7 @@ from rosterforge.functions.urls import handle, registry_domain, root_id, url_key
 from rosterforge.operators.filters import SHORTEST, identifying_domain
 from rosterforge.operators.match import containing
 from rosterforge.schema import EVIDENCE, MATCHED_URL, NAME, PROFILE, ROOT, ROW_ID, STATUS, VIA, WEBSITE, X_HANDLE, appended, cell, filled, trim
+from rosterforge.sources import gram_index
 
 #: Names under which the registry knows a target asset (fixed values; others go by their own).
 ASSET_ALIASES = {"SOL": ["SOL", "Solana"], "STRK": ["STRK", "Starknet"], "ADA": ["ADA", "Cardano"]}
@@ -170,13 +171,20 @@ def name_score(entry: Column, wanted: Column) -> Column:
     )
 
 
-def search_match(rows: DataFrame, registry: dict[str, DataFrame], limit: int = 5) -> DataFrame:
+def search_match(rows: DataFrame, registry: dict[str, DataFrame], limit: int = 5, index: str | None = None) -> DataFrame:
     """Name search, then URL search: of the first ``limit`` profiles that hold the row's search
     term the best of score 0.8 or more, else the first root whose URL holds the
-    row's and that has a profile.  Any case; registry order is by id."""
+    row's and that has a profile.  Any case; registry order is by id.
+
+    ``index`` is the folder of a stored index of the profiles' lower-case names by entry id
+    (``sources.gram_index``): then their texts are not taken apart again."""
     entries = flat(registry).where("kind = 'profile'")
     r = rows.select(ROW_ID, trim(NAME).alias("row_name"), F.lower(search_term(NAME)).alias("term"), url_key(WEBSITE).alias("site"))
-    hits = r.select(ROW_ID, "row_name", "term").join(containing(r.select("term"), entries.withColumn("text", F.lower("name")), 3), "term").drop("term", "text")
+    if index:
+        found = gram_index.search(r.select("term"), index, limit).select("term", F.col("text_id").alias("entry_id")).join(entries, "entry_id")
+    else:
+        found = containing(r.select("term"), entries.withColumn("text", F.lower("name")), 3).drop("text")
+    hits = r.select(ROW_ID, "row_name", "term").join(found, "term").drop("term")
     first = hits.withColumn("p", F.row_number().over(W.partitionBy(ROW_ID).orderBy("entry_id"))).where(F.col("p") <= limit)
     scored = first.withColumn("confidence", name_score(F.col("name"), F.col("row_name"))).where(F.col("confidence") >= 0.8)
     pick = lambda df, order: df.groupBy(ROW_ID).agg(F.min_by(F.struct(*[F.col(c) for c in df.columns if c not in (ROW_ID, "p")]), order).alias("e")).select(ROW_ID, "e.*")

@@ -16,7 +16,7 @@ from rosterforge.functions import urls as U
 from rosterforge.operators import dedup, enrich, filters, mapping, match, merge, pages, records, registry, reports, sites
 from rosterforge.plans import tables as D
 from rosterforge.sources import catalog as store
-from rosterforge.sources import sheets, versions
+from rosterforge.sources import gram_index, sheets, versions
 from rosterforge.sources.checkpoints import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -953,6 +953,17 @@ def registry_search(spark, d):
     return registry.search_match(D.catalog(spark, d), _snapshot(spark, d)).select("row_id", "entry_id", "confidence", "method")
 
 
+@query(SQL["registry_search"])
+def registry_search_indexed(spark, d):
+    snapshot, root = _snapshot(spark, d), f"{shared_folder(spark)}/names-{uuid.uuid4().hex}"
+    names = registry.flat(snapshot).where("kind = 'profile'").select(F.col("entry_id").alias("text_id"), F.lower("name").alias("text"))
+    old = F.xxhash64("text_id") % 5
+    first = names.where(old != 0).withColumn("text", F.when(old == 1, F.concat("text", F.lit(" before"))).otherwise(F.col("text")))
+    gram_index.build(first, root)
+    gram_index.update(names, root)  # new and changed names only
+    return registry.search_match(D.catalog(spark, d), snapshot, index=root).select("row_id", "entry_id", "confidence", "method")
+
+
 @query(f"""
 SELECT url, f.root_id, kind, entry_id, CAST(1 AS DOUBLE) AS confidence FROM (
   SELECT url, root_id, row_number() OVER (PARTITION BY url ORDER BY root_id) AS p FROM (SELECT DISTINCT website AS url FROM {{catalog}}) s JOIN (SELECT root_id, lower(url) AS held FROM {{entries}}) ON {URLKEY.format("url")} <> '' AND contains(held, {URLKEY.format("url")})) h

@@ -55,11 +55,11 @@ def _commit(spark: SparkSession, root: str, version: int, folder: str, kind: str
         raise
 
 
-def publish(df: DataFrame, root: str, columns: Iterable[str] | None = CATALOG, kind: str = "parquet", seen: int | None = None) -> int:
+def publish(df: DataFrame, root: str, columns: Iterable[str] | None = CATALOG, kind: str = "parquet", seen: int | None = None, by: Iterable[str] = ()) -> int:
     """Publishes ``df`` as the table's next version and returns its number.
 
     With ``columns`` the rows get those columns in order, absent ones empty, every
-    cell sanitized; None writes them as they are.  ``seen`` is the version that the
+    cell sanitized; None writes them as they are, in folders by the columns ``by``.  ``seen`` is the version that the
     caller's rows derive from: if another has been published since, nothing is
     (``Conflict``).  If writing fails, readers keep the version that they had."""
     spark = df.sparkSession
@@ -72,6 +72,7 @@ def publish(df: DataFrame, root: str, columns: Iterable[str] | None = CATALOG, k
     folder = f"data/{uuid.uuid4().hex}"
     writer = out.write.mode("errorifexists")
     writer = writer.options(header=True, quote='"', escape='"', emptyValue="") if kind == "csv" else writer
+    writer = writer.partitionBy(*by) if by else writer
     writer.format(kind).save(f"{root}/{folder}")
     _commit(spark, root, before + 1, folder, kind)
     return before + 1
