@@ -16,7 +16,7 @@ from rosterforge.functions import urls as U
 from rosterforge.operators import dedup, enrich, filters, mapping, match, merge, pages, records, registry, reports, sites
 from rosterforge.plans import tables as D
 from rosterforge.sources import catalog as store
-from rosterforge.sources import gram_index, sheets, versions
+from rosterforge.sources import gram_index, sheets, texts, versions
 from rosterforge.sources.checkpoints import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -644,6 +644,23 @@ def compare_split(spark, d):
     return reports.comparison(duplicates, new, existing).select("duplicates", "new")
 
 
+@query(f"""
+WITH m AS (SELECT i.row_id, i.name, trim(i.website) AS website, trim(i.category) AS category, e.name AS ours, x.best.s AS score FROM {{incoming}} i LEFT JOIN ({MATCHED}) x ON x.row_id = i.row_id LEFT JOIN {{catalog}} e ON e.row_id = x.best.m WHERE i.name <> ''),
+l AS (
+  SELECT 0 AS section, 0 AS place, [repeat('=', 60), 'ECOSYSTEM DATA COMPARISON REPORT', 'Chain: near | Source: Site', repeat('=', 60), '', concat('Existing CSV entries: ', (SELECT count(*) FROM {{catalog}})), concat('Site scraped items: ', count(*)),
+    concat('Duplicates found: ', count(score)), concat('New projects to add: ', count(*) - count(score)), ''] AS l FROM m
+  UNION ALL SELECT 1, 0, [repeat('-', 60), 'DUPLICATES (may need data enhancement)', repeat('-', 60)] UNION ALL SELECT 3, 0, [repeat('-', 60), 'NEW PROJECTS TO ADD', repeat('-', 60)]
+  UNION ALL SELECT 2, row_id, [concat('  Site: ', name), concat('  CSV:    ', ours, ' (match: ', CAST(score * 100 AS INTEGER), '%)'), CASE WHEN website <> '' THEN concat('  URL: ', website) END, '']
+    FROM (SELECT * FROM m WHERE score IS NOT NULL ORDER BY row_id LIMIT 30)
+  UNION ALL SELECT 4, row_id, [concat('  Name: ', name), CASE WHEN website <> '' THEN concat('  URL: ', website) END, CASE WHEN category <> '' THEN concat('  Category: ', category) END, ''] FROM m WHERE score IS NULL)
+SELECT CAST(section AS INTEGER) AS section, CAST(place AS BIGINT) AS place, CAST(generate_subscripts(f, 1) - 1 AS INTEGER) AS line, unnest(f) AS value FROM (SELECT section, place, list_filter(l, lambda x: x IS NOT NULL) AS f FROM l)
+""")
+def comparison_report(spark, d):
+    incoming, existing = _pair(spark, d)
+    duplicates, new = match.split_new(incoming, existing, fuzzy=False)
+    return texts.comparison_lines(duplicates, new, existing, "near", "Site")
+
+
 @query(f"""
 WITH RECURSIVE k AS (SELECT row_id, name, {key('name')} AS n, {DOMAIN.format('website')} AS d FROM {{incoming}} WHERE trim(name) <> ''),
 o AS (SELECT *, row_number() OVER (ORDER BY row_id) AS i FROM k WHERE (n = '' OR n NOT IN (SELECT {key('name')} FROM {{catalog}})) AND (d = '' OR d NOT IN (SELECT {DOMAIN.format('website')} FROM {{catalog}}))),
