@@ -22,6 +22,8 @@ ASSET_ALIASES = {"SOL": ["SOL", "Solana"], "STRK": ["STRK", "Starknet"], "ADA":
 NOISE_WORDS = ["the", "a", "an", "of", "and", "for", "on", "in", "by", "is"]
 #: Endings that tell of another entity (fixed values).
 NOISE_ENDINGS = [" s.l.", " ltd", " ltd.", " gmbh", " inc", " inc.", " corp", " corp.", " llc", " plc", " pte", " slugs", " gang", " punks", " apes", " club"]
+#: Words that a longer name may have beside a search (fixed values).
+SMALL_WORDS = ["the", "a", "an", "of", "and", "for"]
 CONFIDENT = 0.85
 
 
@@ -203,7 +205,7 @@ def multi_score(entry: Column, wanted: Column) -> Column:
     noise = F.lit(False)
     for ending in NOISE_ENDINGS:
         noise = noise | (e.contains(ending) & ~s.contains(ending))
-    extra = F.array_except(F.array_except(F.split(e, r"\s+"), F.split(s, r"\s+")), F.array(*map(F.lit, ["the", "a", "an", "of", "and", "for"])))
+    extra = F.array_except(F.array_except(F.split(e, r"\s+"), F.split(s, r"\s+")), F.array(*map(F.lit, SMALL_WORDS)))
     ladder = (
         F.when(e == s, 1.0)
         .when(e.startswith(F.concat(s, F.lit(" "))) | e.startswith(F.concat(s, F.lit("-"))), F.when(noise, 0.4).otherwise(0.75))

@@ -11,6 +11,7 @@ from rosterforge.functions.text import category_list, percent, title
 from rosterforge.operators.filters import DEAD
 from rosterforge.schema import CATEGORY, EVIDENCE, MATCHED_URL, NAME, NOTES, PROFILE, ROW_ID, SOURCE, STABLE, STATUS, TELEGRAM, USDT, VIA, WEB3, WEBSITE, X_HANDLE, X_LINK, cell, filled, is_true, trim
 
+#: Assets whose findings are counted (fixed values).
 TICKERS = ["USDT", "USDC", "SOL", "STRK", "ADA", "APT", "ETH", "BTC"]
 
 
