@@ -113,7 +113,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 3, key: st
     minima; only distinct fingerprints are compared.  Null or empty texts have
     fingerprint zero and link like any other.  Null keys get the component's id
     (null only if the component has no other).  Repeated rows stay.  An empty
-    table gives no rows; more columns are carried along."""
+    table gives no rows; more columns are not carried along."""
     marked = fingerprints(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), row_key(key, text).alias("_row")), "_text", words, "_fp")
     marked = cut(marked.select("_key", "_row", "_fp"))
     fps = cut(marked.groupBy(F.col("_fp").alias("fp")).agg(F.min("_key").alias("low")))
