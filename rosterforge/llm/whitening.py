@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
@@ -59,9 +60,10 @@ def indexed(rows: DataFrame) -> tuple[DataFrame, int]:
 
 
 def blocks(rows: DataFrame, vector: str, n: int, d: int) -> BlockMatrix:
-    """The ``n`` x ``d`` matrix of ``vector`` (array<double>) by ``_index``."""
+    """The ``n`` x ``d`` matrix of ``vector`` (array<double>) by ``_index``, kept while it is
+    in use: each side of a product asks for it, and so does the next product."""
     vectors = MLUtils.convertVectorColumnsFromML(rows.select(F.col("_index").alias("index"), array_to_vector(vector).alias("vector")), "vector")
-    return IndexedRowMatrix(vectors, n, d).toBlockMatrix(BLOCK, BLOCK)
+    return IndexedRowMatrix(vectors, n, d).toBlockMatrix(BLOCK, BLOCK).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def product(a: BlockMatrix, b: BlockMatrix) -> BlockMatrix:
