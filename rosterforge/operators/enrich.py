@@ -254,15 +254,20 @@ def keyword_scan(text: Column, targets: list[str]) -> Column:
 def catalog_keywords(texts: DataFrame, coins: DataFrame, key: str = ROW_ID, text: str = "text") -> DataFrame:
     """``key, found``: coins of a keyword catalog (``symbol, keywords``) named in each text.
 
-    Words of up to 5 characters must be whole, longer ones may be anywhere.  Whole
-    single words meet the texts' distinct words in an equi-join.  The others are
-    looked for in each text while they are at most ``LISTED_WORDS``; more are
-    joined by their rarest trigram."""
+    Words of up to 5 characters must be whole, longer ones may be anywhere.  Words of
+    word characters alone lie within one word of a text: whole ones meet the texts'
+    distinct words in an equi-join, longer ones are looked for in the distinct words
+    of all texts first, so no text is moved.  The others are looked for in each text
+    while they are at most ``LISTED_WORDS``; more are joined by their rarest trigram."""
     words = coins.select("symbol", F.posexplode("keywords").alias("p", "word")).where("word <> ''")
-    whole = (F.length("word") <= 5) & F.col("word").rlike(r"(?U)^\w+$")
-    single, other = words.where(whole), words.where(~whole)
+    plain, short = F.col("word").rlike(r"(?U)^\w+$"), F.length("word") <= 5
+    single, inner, other = words.where(plain & short), words.where(plain & ~short), words.where(~plain)
     tokens = texts.select(key, F.explode(F.array_distinct(F.split(F.col(text), r"(?U)\W+"))).alias("word"))
     hits = tokens.join(single, "word").select(key, "symbol", "p", "word")
+    known = tokens.where(~short).select(F.col("word").alias("text")).distinct()
+    inside = match.containing(inner.select(F.col("word").alias("term")).distinct(), known, 6)
+    within = tokens.join(inside.withColumnRenamed("text", "word"), "word").select(key, F.col("term").alias("word")).distinct()
+    hits = hits.unionByName(within.join(inner, "word").select(key, "symbol", "p", "word"))
     distinct = other.select("word").distinct()
     listed = [r["word"] for r in distinct.limit(LISTED_WORDS + 1).collect()]
     if len(listed) <= LISTED_WORDS:

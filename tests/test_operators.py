@@ -239,6 +239,17 @@ def test_keyword_catalog(spark):
     assert got == {1: [("DAI", ["dai"]), ("TUSD", ["trueusd"]), ("U", ["us dollar x"])], 3: [("TUSD", ["tusd"])]}
 
 
+def test_many_keywords_are_found_without_moving_texts(spark, monkeypatch):
+    moved, containing = [], enrich.match.containing
+    monkeypatch.setattr(enrich.match, "containing", lambda terms, texts, *how: moved.append(texts.columns) or containing(terms, texts, *how))
+    n = enrich.LISTED_WORDS + 60  # more than are looked for one by one
+    coins = spark.createDataFrame([(f"S{i:04d}", [f"s{i:04d}", f"kéyword{i:04d}"]) for i in range(n)], "symbol string, keywords array<string>")
+    rows = [(i, f"unkéyword{i:04d}s kéyword{i:04d}, s{i:04d}x") for i in range(0, n, 7)]
+    found = enrich.catalog_keywords(spark.createDataFrame(rows, "row_id long, text string"), coins)
+    assert {r.row_id: [(f.asset, f.words) for f in r.found] for r in found.collect()} == {i: [(f"S{i:04d}", [f"kéyword{i:04d}"])] for i, _ in rows}
+    assert moved == [["text"]]
+
+
 def test_health_and_sources(spark):
     log = spark.sql("select 'a.com' url, 204 http_code, cast(null as string) error_type, '' detail, timestamp'2024-01-02' fetched_at union all select 'b.com', cast(null as int), 'dns', 'no host', timestamp'2024-01-02' union all select 'a.com', 404, null, '', timestamp'2024-01-01'")
     cat = catalog(spark, [{"site": "a.com", "notes": "[website-health] DEAD: old"}, {"site": "b.com", "notes": "n"}, {"site": "c.com"}])
