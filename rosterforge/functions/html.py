@@ -18,12 +18,14 @@ def without_tags(html: str | Column) -> Column:
     return F.regexp_replace(F.regexp_replace(cell(html), BLOCKS, " "), r"<[^>]+>", " ")
 
 
-def page_text(html: str | Column, entities: bool = True) -> Column:
-    """Visible text: entities decoded, white space collapsed, lower case.  Only texts
-    that hold an ampersand go through the decoder."""
+def page_text(html: str | Column, entities: bool = True, unclosed: bool = True) -> Column:
+    """Visible text: entities decoded, white space collapsed, lower case.  Entities without
+    their semicolon are decoded as browsers do, or left as they are (``unclosed`` false).
+    Only texts that may hold an entity go through the decoder."""
     text = without_tags(html)
     if entities:
-        text = F.when(text.contains("&"), kernels.unescaped(text)).otherwise(text)
+        may = text.contains("&") if unclosed else text.rlike(kernels.CLOSED)
+        text = F.when(may, kernels.unescaped(text, unclosed)).otherwise(text)
     return F.lower(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")))
 
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from difflib import SequenceMatcher
 from html import unescape
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: An entity that its semicolon ends.
+CLOSED = "&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+
 
 def ratios(a: list[str], b: list[str], least: float = 0.0) -> list[float]:
     """difflib's similarity of each pair, in this order (it is not symmetric); 0 where it is
@@ -39,11 +44,16 @@ def ratio(a: Column, b: Column, least: float = 0.0) -> Column:
     return run(a, b)
 
 
-def unescaped(c: Column) -> Column:
-    """All HTML entities decoded."""
+def _unescape_closed(text: str) -> str:
+    return re.sub(CLOSED, lambda m: unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html5 else m[0], text)
+
+
+def unescaped(c: Column, unclosed: bool = True) -> Column:
+    """All HTML entities decoded; those without their semicolon only if ``unclosed``."""
+    decode = unescape if unclosed else _unescape_closed
 
     @F.pandas_udf("string")
     def run(x: pd.Series) -> pd.Series:
-        return x.map(unescape, na_action="ignore")
+        return x.map(decode, na_action="ignore")
 
     return run(c)

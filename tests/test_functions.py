@@ -65,6 +65,8 @@ def test_html(run):
     page = '<html><head><meta property="og:description" content="A page about many things."><script>var x = "</p>";</script></head><body>Hi&nbsp;<b>you</b> &eacute;&amp;</body>'
     assert run(H.page_text, page) == ["hi you é&"]
     assert run(H.description, page, '<meta content="short" name="description">', '<script type="application/ld+json">{"description": "from structured data, long"}</script>') == ["A page about many things.", "", "from structured data, long"]
+    unclosed = lambda c: H.page_text(c, unclosed=False)
+    assert run(unclosed, "<p>a&amp b&&amp;amp; &copy; &notit; &#38; &#x27; &amp", "<p>&amp x") == ["a&amp b&&amp; © &notit; & ' &amp", "&amp x"]
     assert run(kernels.unescaped, "&notit; &#x27;") == [html.unescape("&notit; &#x27;")]
     pairs = ["tide,diet", "diet,tide", "abcd,abcd", ","]
     got = run(lambda c: kernels.ratio(F.split(c, ",")[0], F.split(c, ",")[1]), *pairs)
