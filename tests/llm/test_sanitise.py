@@ -111,3 +111,16 @@ def test_terms_far_away_or_beside_odd_spaces(spark, make):
         got = {r.doc_id: r.spans for r in sanitise.find(make(rows), around=around, reach=None).collect()}
         terms = {i: [dict(rows)[i][int(a) : int(b)] for k, a, b in (s.split(":") for s in got[i].split(",")) if k == "term"] for i in (1, 2)}
         assert terms == {1: want, 2: ["zorb\u00a0ix"]}
+
+
+def test_no_word_of_the_line_is_left_out_by_default(spark, make):
+    far = "filler " * 60
+    rows = [(1, f"codename {far} ann@corp.com {far} bob@corp.com {far} secret, and\nother"), *((10 + i, f"filler and the other told {i}") for i in range(40))]
+    spans = {r.doc_id: r.spans for r in sanitise.find(make(rows)).collect()}[1].split(",")
+    assert [rows[0][1][int(a) : int(b)] for k, a, b in (s.split(":") for s in spans) if k == "term"] == ["codename", "secret"]
+
+
+def test_neighbours_are_listed_once_a_line():
+    text = " ".join(f"word{i} a{i}@b.co" for i in range(300)) + "\nnext c@d.ef (c@d.ef) +12 345 678 90"
+    found = sanitise.neighbours(text, sanitise.base_spans(text))
+    assert [(len(set(e)), [text[a:b] for _, a, b in t]) for e, t in found] == [(300, [f"word{i}" for i in range(300)]), (2, ["next"])]
