@@ -19,9 +19,8 @@ from pyspark.sql.window import Window as W
 from rosterforge.llm.common import cut, row_key
 from rosterforge.llm.grams import ORDER, context, counts, document_sums, shorter
 
-#: Trusted documents that the model is trained on at most: those whose ids have
-#: the smallest hashes.  Everything else covers all documents.
-TRAINED = 20_000
+#: Trusted ids up to which they are broadcast to the scan (8 bytes each).
+BROADCAST_IDS = 2_000_000
 #: Share of a language's trusted texts that its threshold lets pass.
 SHARE = 0.998
 #: Trusted texts for such a threshold.
@@ -39,9 +38,10 @@ def good_ids(labels: DataFrame) -> DataFrame:
     return good.select("doc_id").distinct()
 
 
-def trusted_ids(labels: DataFrame, bound: int = TRAINED) -> DataFrame:
-    """``doc_id`` of at most ``bound`` of these."""
-    return good_ids(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+def trusted_ids(labels: DataFrame, bound: int | None = None) -> DataFrame:
+    """``doc_id`` of all of these; of ``bound`` at most, if given, those whose ids have the smallest hashes."""
+    good = good_ids(labels)
+    return good if bound is None else good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
 def _discounts(table: DataFrame) -> tuple[Column, Column, Column]:
@@ -78,7 +78,8 @@ def log_probabilities(trained: DataFrame, asked: DataFrame) -> DataFrame:
 def perplexities(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", carried: tuple[str, ...] = ()) -> DataFrame:
     """``key, lang, units, log_perplexity`` (nats a unit) and the ``carried`` columns of
     every row; texts without units have none (null)."""
-    mine = docs.join(F.broadcast(trusted.select(F.col("doc_id").alias(key))), key, "left_semi")
+    ids = trusted.select(F.col("doc_id").alias(key))
+    mine = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, "left_semi")
     trained = cut(counts(mine, F.col(text), {"c": F.lit(True)}))
     asked = cut(counts(docs, F.col(text), {"c": F.lit(True)}).select("gram"))
     known = log_probabilities(trained, asked)

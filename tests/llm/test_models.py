@@ -133,3 +133,15 @@ def test_copies_of_one_text_do_not_move_the_threshold(spark, make, prose):
     alone, skewed = ({r.doc_id: (r.threshold, r.keep) for r in kneser_ney.classify(make(x), trusted).collect()} for x in (rows, [*rows, *copies]))
     assert all(skewed[i] == alone[i] for i in range(40))
     assert {skewed[1000 + i] for i in range(150)} == {alone[3]} and sum(k for _, k in alone.values()) >= 38
+
+
+def test_the_model_learns_from_all_trusted_documents(spark):
+    labels = spark.range(21_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert kneser_ney.trusted_ids(labels).count() == 21_000
+
+
+def test_many_trusted_ids_are_joined_alike(spark, make, prose, monkeypatch):
+    docs, trusted = make([(i, t, "de") for i, t in enumerate(prose(29, 30, 5, 25))]), spark.range(0, 20).withColumnRenamed("id", "doc_id")
+    told = sorted(map(str, kneser_ney.classify(docs, trusted).collect()))
+    monkeypatch.setattr(kneser_ney, "BROADCAST_IDS", 0)
+    assert sorted(map(str, kneser_ney.classify(docs, trusted).collect())) == told
