@@ -1,6 +1,7 @@
 import difflib
 import random
 
+import helpers
 from pyspark.sql import functions as F
 
 from rosterforge.functions import kernels
@@ -40,3 +41,13 @@ def test_ratios_are_difflibs():
     assert kernels.ratios(a, b) == want
     for least in (0.5, 0.8):
         assert all(g == w or (w <= least and g == 0) for g, w in zip(kernels.ratios(a, b, least), want, strict=True))
+
+
+def test_counts_are_aggregated_by_hash_and_ties_go_to_the_first_seen(spark):
+    rows = [{"id": 12, "src": "A; B", "cat": "x"}, {"id": 3, "src": "C; D; A", "cat": "y"}, {"id": -5, "src": "D; B; E", "cat": "z"}]
+    df = helpers.catalog(spark, rows)
+    for report in (R.dashboard(df), R.source_breakdown(df), R.category_breakdown(df)):
+        assert "SortAggregate" not in report._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in R.source_breakdown(df, 4).collect()] == [("D", 2), ("B", 2), ("A", 2), ("E", 1)]
+    found = {r["item"] for r in R.dashboard(df, sources=4, categories=2).where("report in ('source', 'category')").collect()}
+    assert found == {"D", "B", "A", "E", "Z", "Y"}
