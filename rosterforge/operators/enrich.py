@@ -141,8 +141,11 @@ def enrich_deployments(rows: DataFrame, coins: DataFrame, targets: list[str]) ->
     and source; a fuzzy one only an unverified note."""
 
     def step(todo: DataFrame) -> DataFrame:
-        m = match.coin_lookup(todo, coins).join(coins.select(F.col("id").alias("coin_id"), F.col("name").alias("_coin"), platform_assets(F.col("platforms"), targets).alias("_p")), "coin_id")
-        r = todo.join(m.select(ROW_ID, "coin_id", "method", "_coin", "_p"), ROW_ID, "left")
+        named = todo.withColumn("_name", cell(NAME))
+        m = match.coins_of_names(named.select(F.col("_name").alias("name")).distinct(), coins).withColumnRenamed("name", "_name")
+        m = m.join(coins.select(F.col("id").alias("coin_id"), F.col("name").alias("_coin"), "platforms"), "coin_id")
+        m = m.select("_name", "coin_id", "method", "_coin", platform_assets(F.col("platforms"), targets).alias("_p"))
+        r = named.join(m, "_name", "left").drop("_name")
         hit = F.coalesce(F.size("_p") > 0, F.lit(False))
         exact, fuzzy = hit & (F.col("method") == "exact"), hit & (F.col("method") == "fuzzy")
         told = F.array_join(F.transform("_p", lambda x: F.concat(x["asset"], F.lit(": deployed on "), x["platform"], F.lit(" (CoinGecko)"))), " | ")

@@ -57,3 +57,10 @@ def test_coins_are_looked_up_by_different_names(spark, counted):
     got = {(r.row_id % 4, r.coin_id, r.method) for r in match.coin_lookup(rows, coins).collect()}
     assert got == {(0, "c0", "exact"), (1, "c1", "fuzzy")}
     assert calls.value < 200
+
+
+def test_rows_without_an_id_get_their_deployments(spark):
+    coins = spark.createDataFrame([("c", "Alpha Token", "", 0, {"solana": "0x1"})], "id string, name string, symbol string, pos long, platforms map<string,string>")
+    rows = catalog(spark, [{"name": "Alpha Token"}, {"name": "Alpha Token"}, {"name": "Other"}]).withColumn("row_id", F.lit(None).cast("long"))
+    out = enrich.enrich_deployments(rows, coins, ["SOL"]).select(S.NAME, S.EVIDENCE).collect()
+    assert sorted((r[0], r[1]) for r in out) == [("Alpha Token", "SOL: deployed on solana (CoinGecko)")] * 2 + [("Other", "")]
