@@ -21,6 +21,8 @@ EMOJI = (
     r"\x{3030}\x{A9}\x{AE}\x{2122}\x{23CF}\x{23E9}-\x{23F3}\x{23F8}-\x{23FA}\x{231A}-\x{231B}"
     r"\x{2934}-\x{2935}\x{2B05}-\x{2B07}\x{2B1B}-\x{2B1C}\x{2B50}\x{2B55}\x{203C}\x{2049}]+"
 )
+#: What sanitizing changes: white space other than single spaces between words, commas, ampersands.
+UNTIDY = r"[,&\t-\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]|  |^ | \z"
 #: Sources whose category prefix notes lose (fixed values).
 NOTE_SOURCES = ["NEARCatalog", "AwesomeNEAR", "Generic Scraper"]
 
@@ -30,7 +32,8 @@ def sanitized(c: str | Column) -> Column:
     text = F.trim(F.regexp_replace(cell(c), r"(?U)\s+", " "))
     for entity, char in (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "'"), ("&quot;", '"')):
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.translate(text, ",", ";")
+    # one look tells that most cells need none of this
+    return F.when(cell(c).rlike(UNTIDY), F.translate(text, ",", ";")).otherwise(cell(c))
 
 
 def alnum_key(c: str | Column) -> Column:

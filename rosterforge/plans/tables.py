@@ -6,6 +6,8 @@ rows.  Columns have short names in SQL; ``catalog`` gives them the canonical one
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from rosterforge import schema as S
@@ -141,16 +143,24 @@ def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """The portable SQL over the tables it names."""
+def derived(spark: SparkSession, sf_dir: str, sql: str, deal: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The portable SQL over the tables it names, each through ``deal`` if given."""
     used = {t: base(spark, sf_dir, t) for t in TABLES if f" {t}" in sql.replace("\n", " ")}
+    used = {t: deal(df) for t, df in used.items()} if deal else used
     for t in used:
         sql = sql.replace(f"FROM {t}", f"FROM {{{t}}}").replace(f"JOIN {t}", f"JOIN {{{t}}}")
     return spark.sql(sql, **used)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores where their files make fewer tasks: these tables hold many
+    narrow rows in few bytes, and what is derived from a row costs far more than to move it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def catalog(spark: SparkSession, sf_dir: str, sql: str = CATALOG) -> DataFrame:
-    df = derived(spark, sf_dir, sql)
+    df = derived(spark, sf_dir, sql, dealt if " JOIN " not in sql else None)
     return S.with_columns_of(df.withColumnsRenamed({k: v for k, v in SHORT.items() if k in df.columns}))
 
 

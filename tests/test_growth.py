@@ -64,3 +64,19 @@ def test_rows_without_an_id_get_their_deployments(spark):
     rows = catalog(spark, [{"name": "Alpha Token"}, {"name": "Alpha Token"}, {"name": "Other"}]).withColumn("row_id", F.lit(None).cast("long"))
     out = enrich.enrich_deployments(rows, coins, ["SOL"]).select(S.NAME, S.EVIDENCE).collect()
     assert sorted((r[0], r[1]) for r in out) == [("Alpha Token", "SOL: deployed on solana (CoinGecko)")] * 2 + [("Other", "")]
+
+
+def test_one_file_of_rows_is_dealt_over_all_cores(spark):
+    assert tables.base(spark, SF, "part").rdd.getNumPartitions() == 1
+    assert tables.catalog(spark, SF).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_sanitizing_misses_no_white_space(spark):
+    blank = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+    codes = [c for c in range(1, 0x3100)]
+    df = spark.createDataFrame([(c, f"a{chr(c)}b", f"{chr(c)}ab{chr(c)}") for c in codes], "c int, inner string, outer string")
+    for c, inner, outer in df.select("c", sanitized("inner"), sanitized("outer")).collect():
+        x = " " if c in blank else ";" if c == ord(",") else chr(c)
+        assert (inner, outer) == (f"a{x}b", "ab" if c in blank else f"{x}ab{x}")
+    odd = spark.createDataFrame([("a  b",), (" a",), ("a\n",), ("&amp;lt;,",), ("",), (None,)], "t string")
+    assert [r[0] for r in odd.select(sanitized("t")).collect()] == ["a b", "a", "a", "<;", "", ""]
