@@ -120,7 +120,10 @@ def split_by_chain(df: DataFrame, chains: DataFrame, column: str = CHAIN) -> Dat
     ``known_chain`` tells which.  Write with ``partitionBy`` for one folder each."""
     eco = df.withColumn("eco", trim(column))
     found = chain_of(eco.select("eco").distinct(), chains)
-    r = eco.join(found, "eco", "left")
+    # a name may hold most rows, hence each is met in as many parts as there are tasks to share it
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = found.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
+    r = eco.withColumn("_part", F.spark_partition_id() % tasks).join(shared, ["eco", "_part"], "left").drop("_part")
     known = F.col("chain_id").isNotNull()
     return r.withColumns(
         {

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rosterforge import schema as S
 from rosterforge.functions.text import sanitized
-from rosterforge.operators import enrich, match
+from rosterforge.operators import enrich, match, merge
 from rosterforge.plans import tables
 
 SF = "/root/testdata/sf0.001"
@@ -80,3 +80,19 @@ def test_sanitizing_misses_no_white_space(spark):
         assert (inner, outer) == (f"a{x}b", "ab" if c in blank else f"{x}ab{x}")
     odd = spark.createDataFrame([("a  b",), (" a",), ("a\n",), ("&amp;lt;,",), ("",), (None,)], "t string")
     assert [r[0] for r in odd.select(sanitized("t")).collect()] == ["a b", "a", "a", "<;", "", ""]
+
+
+def test_a_chain_of_most_rows_is_split_by_several_tasks(spark):
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        chains = spark.createDataFrame([("near", "NEAR", 0)], "id string, name string, pos long")
+        rows = catalog(spark, [{"eco": ["Near", "Other"][i % 50 == 0]} for i in range(400)]).repartition(4)
+        split = merge.split_by_chain(rows, chains).select("row_id", "chain_id", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r.row_id, r.chain_id) for r in split) == [(i, ["near", "Other"][i % 50 == 0]) for i in range(400)]
+    assert len({r.task for r in split if r.chain_id == "near"}) > 1
