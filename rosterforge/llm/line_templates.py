@@ -65,20 +65,28 @@ def _of(level: Level, by: str) -> Column:
     return (F.col("n") >= level.least) & (F.col("n") <= level.most) & (F.col(by) >= level.texts)
 
 
-def _templates(kinds: DataFrame, level: Level) -> DataFrame:
-    """``kind, template`` of the kinds of lines whose template recurs on this level.
-
-    A slot is a token at its place in a leaf, a template the slots that are constant;
-    both are 64-bit hashes, so what is shuffled does not grow with the tokens' length."""
-    mine = kinds.where(_of(level, "leaf_texts"))
-    words = mine.select("leaf", "kind", "texts", F.posexplode(F.split("line", " ")).alias("at", "word")).where(F.col("word") != FIELD)
-    words = words.select("kind", "texts", F.xxhash64("leaf", "at", "word").alias("slot"))
-    held = words.groupBy("slot").agg(F.sum("texts").alias("by")).where(F.col("by") >= level.texts).select("slot")
-    fixed = words.join(held, "slot").groupBy("kind").agg(F.count("*").alias("fixed"), F.bit_xor(F.xxhash64("slot")).alias("slots"))
-    enough = (F.col("fixed") >= level.fixed) & (F.col("fixed") / F.col("n") >= CONSTANT)
-    slots = mine.select("leaf", "n", "kind", "texts").join(fixed, "kind").where(enough).select("kind", "texts", F.xxhash64("leaf", "fixed", "slots").alias("template"))
-    often = slots.groupBy("template").agg(F.sum("texts").alias("all")).where(F.col("all") >= level.texts).select("template")
-    return cut(slots.join(often, "template").select("kind", "template"))
+def _at(levels: tuple[Level, ...], field: str) -> Column:
+    """A field of the row's level."""
+    return F.get(F.array(*[F.lit(getattr(x, field)) for x in levels]), F.col("level"))
+
+
+def _templates(kinds: DataFrame, levels: tuple[Level, ...]) -> DataFrame:
+    """``kind, level, template`` of the kinds of lines whose template recurs on a level.
+
+    All levels go through the same joins.  A slot is a token at its place in a leaf, a
+    template the slots that are constant; both are 64-bit hashes, so what is shuffled does
+    not grow with the tokens' length."""
+    of = F.array_compact(F.array(*[F.when(_of(x, "leaf_texts"), F.lit(i)) for i, x in enumerate(levels)]))
+    mine = kinds.withColumn("level", F.explode(of))
+    words = mine.select("level", "leaf", "kind", "texts", F.posexplode(F.split("line", " ")).alias("at", "word")).where(F.col("word") != FIELD)
+    words = words.select("level", "kind", "texts", F.xxhash64("leaf", "at", "word").alias("slot"))
+    held = words.groupBy("level", "slot").agg(F.sum("texts").alias("by")).where(F.col("by") >= _at(levels, "texts")).select("level", "slot")
+    fixed = words.join(held, ["level", "slot"]).groupBy("level", "kind").agg(F.count("*").alias("fixed"), F.bit_xor(F.xxhash64("slot")).alias("slots"))
+    enough = (F.col("fixed") >= _at(levels, "fixed")) & (F.col("fixed") / F.col("n") >= CONSTANT)
+    slots = mine.select("level", "leaf", "n", "kind", "texts").join(fixed, ["level", "kind"]).where(enough)
+    slots = slots.select("level", "kind", "texts", F.xxhash64("leaf", "fixed", "slots").alias("template"))
+    often = slots.groupBy("level", "template").agg(F.sum("texts").alias("all")).where(F.col("all") >= _at(levels, "texts")).select("level", "template")
+    return cut(slots.join(often, ["level", "template"]).select("kind", "level", "template"))
 
 
 def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", levels: tuple[Level, ...] = LEVELS) -> DataFrame:
@@ -96,16 +104,15 @@ def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", levels:
     kinds = found.groupBy("kind").agg(*[F.first(c).alias(c) for c in ("leaf", "n", "leaf_texts", "line")])
     kinds = stored(kinds.join(texts, "kind"))
 
-    def late(often: DataFrame) -> DataFrame:
-        few = often.count() <= BROADCAST_LEAVES
-        there = found.select("kind", "_key", "_row", "pos").join(F.broadcast(often) if few else often, "kind")
-        place = F.struct(F.col("_key").isNull().alias("null"), F.col("_key"), F.col("_row"), F.col("pos"))
-        first = there.groupBy("template").agg(F.min(place).alias("first"))
-        # one row per template: small beside the lines, so a very common template's need not meet in one task
-        first = F.broadcast(first) if few else first
-        return there.join(first, "template").where((F.col("_row") != F.col("first._row")) | (F.col("pos") != F.col("first.pos"))).select("_row", "pos")
-
-    return reduce(DataFrame.unionAll, [late(_templates(kinds, x)) for x in levels])
+    often = _templates(kinds, levels)
+    few = often.count() <= BROADCAST_LEAVES
+    there = found.select("kind", "_key", "_row", "pos").join(F.broadcast(often) if few else often, "kind")
+    place = F.struct(F.col("_key").isNull().alias("null"), F.col("_key"), F.col("_row"), F.col("pos"))
+    first = there.groupBy("level", "template").agg(F.min(place).alias("first"))
+    # one row per template: small beside the lines, so a very common template's need not meet in one task
+    first = F.broadcast(first) if few else first
+    late = there.join(first, ["level", "template"]).where((F.col("_row") != F.col("first._row")) | (F.col("pos") != F.col("first.pos")))
+    return late.select("_row", "pos")
 
 
 def _without(lines: Column, gone: Column) -> Column:

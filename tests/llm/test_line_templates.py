@@ -92,3 +92,9 @@ def test_short_lines_in_many_texts_go_but_for_the_first(spark, make, prose):
     assert [got[i] for i in range(60)] == brute(rows, lt.LEVELS)
     assert [i for i, t in got.items() if "Read more" in t] == [0] and [i for i, t in got.items() if "Share" in t] == [0]
     assert all("\n" in got[i] and got[i].split("\n")[0] == rows[i][1].split("\n")[0] for i in range(60))
+
+
+def test_levels_share_their_joins(spark, make, prose):
+    docs = make([(i, t) for i, t in enumerate(prose(16, 5))])
+    joins = [lt.recurring(docs, levels=lt.LEVELS[:n])._jdf.queryExecution().optimizedPlan().toString().count("Join ") for n in (1, 3)]
+    assert joins[0] == joins[1] > 0
