@@ -16,7 +16,7 @@ meets everything else in its lists, so no link between components is lost.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from rosterforge.llm.common import cut, row_key, stored
 from rosterforge.llm.components import connected_components
-from rosterforge.llm.simhash import shingles
+from rosterforge.llm.simhash import set_fingerprint, shingles
 
 WORDS = 4
 #: Jaccard similarity as a fraction of whole numbers.
@@ -134,12 +134,13 @@ def prefix(found: np.ndarray, level: np.ndarray, similar: tuple[int, int]) -> tu
     return found[order], int((level[order] == 0).sum())
 
 
-def _marked(docs: DataFrame, key: str, text: str, words: int, similar: tuple[int, int]) -> tuple[DataFrame, bool]:
-    """``_key, _row, s`` (hash of the set), ``n, pre, rare`` of every row; whether some common shingles are not told."""
+def _marked(docs: DataFrame, key: str, text: str, words: int, similar: tuple[int, int], fingerprints: bool) -> tuple[DataFrame, bool]:
+    """``_key, _row, s`` (hash of the set), ``n, pre, rare, fp`` (the set's SimHash, 0 unless
+    ``fingerprints``) of every row; whether some common shingles are not told."""
     parts, codes, levels, partly = common_shingles(docs, text, words)
     known = docs.sparkSession.sparkContext.broadcast((codes, levels))
 
-    @F.pandas_udf("s long, n long, pre array<long>, rare int")
+    @F.pandas_udf("s long, n long, pre array<long>, rare int, fp long")
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codes, levels = known.value
         for texts in batches:
@@ -152,8 +153,8 @@ def _marked(docs: DataFrame, key: str, text: str, words: int, similar: tuple[int
                     at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
                     level = np.where(codes[at] == own, levels[at], 0)
                 pre, rare = prefix(h, level, similar)
-                rows.append((xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63), len(h), pre.view(np.int64), rare))
-            yield pd.DataFrame(rows, columns=["s", "n", "pre", "rare"])
+                rows.append((xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63), len(h), pre.view(np.int64), rare, set_fingerprint(h) if fingerprints else 0))
+            yield pd.DataFrame(rows, columns=["s", "n", "pre", "rare", "fp"])
 
     found = docs.select(F.col(key).alias("_key"), row_key(key, text).alias("_row"), sketch(F.col(text)).alias("x"))
     return stored(found.select("_key", "_row", "x.*")), partly
@@ -208,12 +209,12 @@ def _meet(left: DataFrame, right: DataFrame, similar: tuple[int, int], on: list[
     return met.select(F.greatest("s_a", "s_b").alias("u"), F.least("s_a", "s_b").alias("v"), spare.alias("spare"))
 
 
-def links(docs: DataFrame, kinds: DataFrame, partly: bool, key: str, text: str, words: int, similar: tuple[int, int]) -> DataFrame:
-    """``(u, v)``, u > v: sets that are alike; their components are those of all such pairs.
+def links(docs: DataFrame, kinds: DataFrame, partly: bool, key: str, text: str, words: int, similar: tuple[int, int], proposed: DataFrame | None = None) -> DataFrame:
+    """``node, root`` of the components of all pairs of sets that are alike, but for the roots.
 
-    First every set is compared with its likeliest partner of those that share a rare key
-    with it and of the leaders of its common keys' lists (a list's leader has the
-    longest reach).  Then the other such pairs that are not joined yet are compared, and
+    First the ``proposed(u, v)`` pairs are compared, and every set with its likeliest partner of
+    those that share a rare key with it and of the leaders of its common keys' lists (a
+    list's leader has the longest reach).  Then the other such pairs that are not joined yet are compared, and
     at last the members outside their list's largest component with all
     others of the list.  If those meetings exceed ``PER_MEMBER`` a member, they meet 8, 64,
     ... leaders a list before, which joins most of them."""
@@ -229,9 +230,11 @@ def links(docs: DataFrame, kinds: DataFrame, partly: bool, key: str, text: str,
     sizes = often.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     members = stored(often.join(sizes, "key"))
 
-    wanted = few.select(F.col("u").alias("s")).unionAll(few.select("v")).unionAll(members.select("s")).distinct()
+    first = few.select("u", "v").limit(0) if proposed is None else cut(proposed.select("u", "v"))
+    met = few.select("u", "v") if proposed is None else few.select("u", "v").unionAll(first)
+    wanted = met.select(F.col("u").alias("s")).unionAll(met.select("v")).unionAll(members.select("s")).distinct()
     sets = _sets(docs, kinds.join(wanted, "s").select("s", "_row"), key, text, words)
-    found: list[DataFrame] = []
+    found: list[DataFrame] = []  # since the last labels
     label = sets.select("s", F.col("s").alias("c")).limit(0)
     done = few.select("u", "v").limit(0)
 
@@ -251,9 +254,13 @@ def links(docs: DataFrame, kinds: DataFrame, partly: bool, key: str, text: str,
         return pairs.join(a, "u").join(of(pairs, "v", few).select("v", F.col(column).alias("b")), "v")
 
     def compare(pairs: DataFrame) -> None:
-        """Finds the links among pairs that are neither joined nor compared yet."""
+        """Finds the links among pairs that are neither joined nor compared yet.  Each query
+        costs the driver threads and plans, so none is asked about no pairs."""
         nonlocal done
         pairs = cut(apart(pairs.select("u", "v").distinct()).join(done, ["u", "v"], "left_anti"))
+        n = pairs.count()
+        if not n:
+            return
         done = done.unionAll(pairs)
 
         def alike(both: Column, all_: Column) -> Column:
@@ -261,14 +268,20 @@ def links(docs: DataFrame, kinds: DataFrame, partly: bool, key: str, text: str,
 
         total = lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + x)
         most = total(F.zip_with("a", "b", lambda x, y: F.least(x, y)))
-        close = joined(pairs, pairs.count() <= BROADCAST_ROWS, "counts").where(alike(most, total(F.col("a")) + total(F.col("b"))))
+        close = joined(pairs, n <= BROADCAST_ROWS, "counts").where(alike(most, total(F.col("a")) + total(F.col("b"))))
         close = cut(close.select("u", "v"))
-        full = joined(close, close.count() <= BROADCAST_ROWS, "items")
+        n = close.count()
+        if not n:
+            return
+        full = joined(close, n <= BROADCAST_ROWS, "items")
         found.append(cut(full.where(alike(F.size(F.array_intersect("a", "b")), F.size("a") + F.size("b"))).select("u", "v")))
 
     def relabel() -> None:
         nonlocal label
-        label = connected_components(reduce(DataFrame.unionAll, found)).select(F.col("node").alias("s"), F.col("root").alias("c"))
+        if found:
+            edges = reduce(DataFrame.unionAll, found, label.select(F.col("s").alias("u"), F.col("c").alias("v")))
+            label = connected_components(edges).select(F.col("node").alias("s"), F.col("root").alias("c"))
+            found.clear()
 
     def led(left: DataFrame, leaders: int) -> DataFrame:
         """The leaders of each list, one in each share of its members, meet ``left``."""
@@ -286,7 +299,8 @@ def links(docs: DataFrame, kinds: DataFrame, partly: bool, key: str, text: str,
     one = led(members, 1)
     both = few.unionAll(one)
     ends = both.select(F.col("u").alias("s"), "u", "v", "spare").unionAll(both.select("v", "u", "v", "spare"))
-    compare(ends.groupBy("s").agg(F.max(F.struct("spare", "u", "v")).alias("x")).select("x.u", "x.v"))
+    best = ends.groupBy("s").agg(F.max(F.struct("spare", "u", "v")).alias("x")).select("x.u", "x.v")
+    compare(best if proposed is None else best.unionAll(first))
     relabel()
     compare(both)
     relabel()
@@ -297,7 +311,8 @@ def links(docs: DataFrame, kinds: DataFrame, partly: bool, key: str, text: str,
         relabel()
         left, leaders = left_over(), leaders * 8
     compare(_meet(left, members, similar, ["key"]))
-    return reduce(DataFrame.unionAll, found)
+    relabel()
+    return label.select(F.col("s").alias("node"), F.col("c").alias("root"))
 
 
 def _sets(docs: DataFrame, rows: DataFrame, key: str, text: str, words: int) -> DataFrame:
@@ -316,13 +331,18 @@ def _sets(docs: DataFrame, rows: DataFrame, key: str, text: str, words: int) ->
     return stored(texts.groupBy("s").agg(F.first("_text").alias("_text")).select("s", items("_text").alias("x")).select("s", "x.*"))
 
 
-def linked(docs: DataFrame, text: str, key: str, words: int, similar: tuple[int, int]) -> tuple[DataFrame, DataFrame, DataFrame]:
+def linked(
+    docs: DataFrame, text: str, key: str, words: int, similar: tuple[int, int], propose: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The rows (``_key, _row, s, n``: hash and size of each row's set), the different sets
-    (``s, n, low``: with their smallest key) and ``node, root`` of those sets that are not their component's root."""
-    marked, partly = _marked(docs, key, text, words, similar)
-    kinds = marked.groupBy("s").agg(*[F.first(c).alias(c) for c in ("n", "pre", "rare")], F.min("_row").alias("_row"), F.min("_key").alias("low"))
+    (``s, n, low``: with their smallest key) and ``node, root`` of those sets that are not their component's root.
+
+    ``propose`` may give pairs ``(u, v)`` to compare first, from the sets ``(s, fp)`` and their SimHashes."""
+    marked, partly = _marked(docs, key, text, words, similar, propose is not None)
+    kinds = marked.groupBy("s").agg(*[F.first(c).alias(c) for c in ("n", "pre", "rare", "fp")], F.min("_row").alias("_row"), F.min("_key").alias("low"))
     kinds = stored(kinds)
-    stars = connected_components(links(docs, kinds.where("n > 0"), partly, key, text, words, similar))
+    some = kinds.where("n > 0")
+    stars = links(docs, some, partly, key, text, words, similar, propose(some.select("s", "fp")) if propose else None)
     return marked.select("_key", "_row", "s", "n"), kinds.select("s", "n", "low"), stars
 
 

@@ -48,7 +48,11 @@ def shingles(text: str | None, words: int) -> np.ndarray:
 
 def text_fingerprint(text: str | None, words: int) -> int:
     """Signed 64-bit SimHash of a text's word shingles, repeats included."""
-    h = shingles(text, words)
+    return set_fingerprint(shingles(text, words))
+
+
+def set_fingerprint(h: np.ndarray) -> int:
+    """Signed 64-bit SimHash of hashes (uint64), each as often as it stands there; none give 0."""
     last = len(h)
     if not last:
         return 0

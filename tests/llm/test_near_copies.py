@@ -41,3 +41,20 @@ def test_odd_rows(make, odd):
     kept = nc.keep_one(make(odd)).collect()
     assert sorted(str(x.doc_id) for x in kept) == sorted(["1", "2", "None", "6", "7", "8"])
     assert nc.keep_one(make([])).count() == 0
+
+
+def test_simhash_proposes_and_the_join_completes(spark, make, prose, monkeypatch):
+    r = random.Random(9)
+    bases = prose(9, 8, 300, 400)
+    rows = [(10 * g + i, edited(b.split(), {r.randrange(300)} if i else (), "new")) for g, b in enumerate(bases) for i in range(3)]
+    rows += [(10 * g + 5, edited(b.split(), set(range(0, 300, 75)), "far")) for g, b in enumerate(bases)]
+    compared = []
+    links = nc.links
+    monkeypatch.setattr(nc, "links", lambda fps: compared.append(out := links(fps).persist()) or out)
+    found = {x._key: x.component_id for x in nc.groups(make(rows)).collect()}
+    assert found == {k: k // 10 * 10 for k, _ in rows}
+    assert len(compared) == 1 and compared[0].count() > 0
+    assert all(bin((x.u ^ x.v) & (1 << 64) - 1).count("1") <= 2 for x in compared[0].collect())
+    # proposals are compared before they link: texts of one SimHash, but not alike, stay apart
+    monkeypatch.setattr("rosterforge.llm.jaccard_join.set_fingerprint", lambda h: 1)
+    assert {x._key: x.component_id for x in nc.groups(make(rows)).collect()} == found
