@@ -12,6 +12,8 @@ many, must not draw them to it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -44,12 +46,19 @@ def trusted_ids(labels: DataFrame, bound: int | None = None) -> DataFrame:
     return good if bound is None else good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
-def _discounts(table: DataFrame) -> tuple[Column, Column, Column]:
-    """D1, D2 and D3+ from the counts of counts; fixed ones where these are too few."""
-    n1, n2, n3, n4 = table.agg(*[F.count_if(F.col("c") == i) for i in (1, 2, 3, 4)]).first()
-    y = n1 / (n1 + 2 * n2) if n1 else 0.0
-    raw = [(i, i - (i + 1) * y * b / a if a else 0.0) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-    return tuple(F.lit(d if 0 < d < i else i / 2) for i, d in raw)
+def _discounts(tables: dict[int, DataFrame]) -> dict[int, tuple[int, list[float]]]:
+    """By order, the n-grams and D1, D2 and D3+ from the counts of counts; fixed ones where
+    these are too few.  One query over all tables."""
+    all_ = reduce(DataFrame.unionAll, [t.select(F.lit(k).alias("k"), "c") for k, t in tables.items()])
+    counted = all_.groupBy("k").agg(F.count("*"), *[F.count_if(F.col("c") == i) for i in (1, 2, 3, 4)])
+    found = dict.fromkeys(tables, (0, 0, 0, 0, 0)) | {k: tuple(n) for k, *n in counted.collect()}
+
+    def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
+        y = n1 / (n1 + 2 * n2) if n1 else 0.0
+        raw = [(i, i - (i + 1) * y * b / a if a else 0.0) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+        return [d if 0 < d < i else i / 2 for i, d in raw]
+
+    return {k: (n, discounts(*of)) for k, (n, *of) in found.items()}
 
 
 def log_probabilities(trained: DataFrame, asked: DataFrame) -> DataFrame:
@@ -57,11 +66,12 @@ def log_probabilities(trained: DataFrame, asked: DataFrame) -> DataFrame:
     tables = {ORDER: trained.select("gram", "c")}
     for k in range(ORDER - 1, 0, -1):  # continuation counts: distinct units before the n-gram
         tables[k] = cut(tables[k + 1].groupBy(shorter(F.col("gram"), k).alias("gram")).agg(F.count("*").alias("c")))
-    alphabet = tables[1].count()
+    found = _discounts(tables)
+    alphabet = found[1][0]
     below = None
     for k in range(1, ORDER + 1):
         table = tables[k]
-        d1, d2, d3 = _discounts(table)
+        d1, d2, d3 = map(F.lit, found[k][1])
         less = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
         contexts = table.groupBy((context(F.col("gram")) if k > 1 else F.lit(0).cast("long")).alias("ctx")).agg(
             F.sum("c").alias("total"), F.sum(less).alias("freed")

@@ -145,3 +145,10 @@ def test_many_trusted_ids_are_joined_alike(spark, make, prose, monkeypatch):
     told = sorted(map(str, kneser_ney.classify(docs, trusted).collect()))
     monkeypatch.setattr(kneser_ney, "BROADCAST_IDS", 0)
     assert sorted(map(str, kneser_ney.classify(docs, trusted).collect())) == told
+
+
+def test_discounts_of_all_orders_take_one_query(spark):
+    table = lambda *c: spark.createDataFrame([(i, x) for i, x in enumerate(c)], "gram long, c long")
+    found = kneser_ney._discounts({1: table(1, 1, 1, 2, 2, 3, 4, 9), 2: table(), 3: table(5, 6)})
+    y = 3 / 7
+    assert found == {1: (8, [1 - 2 * y * 2 / 3, 2 - 3 * y / 2, 3 - 4 * y]), 2: (0, [0.5, 1.0, 1.5]), 3: (2, [0.5, 1.0, 1.5])}
