@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterforge.llm.common import cut, row_key
-from rosterforge.llm.jaccard_join import linked
+from rosterforge.llm.jaccard_join import BROADCAST_ROWS, linked
 from rosterforge.llm.simhash import links
 
 WORDS = 5
@@ -50,6 +50,12 @@ def keep_one(docs: DataFrame, text: str = "text", words: int = WORDS, key: str =
     best = found.groupBy("root").agg(
         F.min(F.struct(F.coalesce(F.col("_key") != F.col("component_id"), F.lit(True)), F.col("_row"))).alias("b")
     )
+    best = best.select(F.col("b._row").alias("_row"), F.lit(True).alias("_stays"))
+    # what goes, and what stays but repeats: few beside the texts, which then need not be shuffled
+    marks = found.groupBy("_row").agg(F.count("*").alias("n")).join(best, "_row", "left").where("_stays is null or n > 1")
+    marks = cut(marks.select("_row", "_stays"))
+    marks = F.broadcast(marks) if marks.count() <= BROADCAST_ROWS else marks
     keyed = docs.withColumn("_row", row_key(key, text))
-    once = keyed.join(best.select(F.col("b._row").alias("_row")), "_row", "left_semi")
-    return once.dropDuplicates(["_row"]).drop("_row")
+    single = keyed.join(marks, "_row", "left_anti")
+    repeats = keyed.join(marks.where("_stays"), "_row", "left_semi").dropDuplicates(["_row"])
+    return single.unionByName(repeats).drop("_row")

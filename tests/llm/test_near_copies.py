@@ -58,3 +58,13 @@ def test_simhash_proposes_and_the_join_completes(spark, make, prose, monkeypatch
     # proposals are compared before they link: texts of one SimHash, but not alike, stay apart
     monkeypatch.setattr("rosterforge.llm.jaccard_join.set_fingerprint", lambda h: 1)
     assert {x._key: x.component_id for x in nc.groups(make(rows)).collect()} == found
+
+
+def test_one_of_equal_rows_stays_and_no_single_text_is_shuffled(make, odd, prose, monkeypatch):
+    texts = prose(10, 12, 60, 90)
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3])] * 2 + [(50, texts[3]), (None, texts[4])]
+    for most in (nc.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(nc, "BROADCAST_ROWS", most)
+        assert sorted((x.doc_id, x.text) for x in nc.keep_one(make(rows)).collect()) == list(enumerate(texts))
+        assert len(nc.keep_one(make(odd)).collect()) == 6
+    assert "LeftAnti" in nc.keep_one(make(rows))._jdf.queryExecution().optimizedPlan().toString()
