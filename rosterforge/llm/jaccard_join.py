@@ -16,7 +16,7 @@ meets everything else in its lists, so no link between components is lost.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from rosterforge.llm.common import cut, row_key, stored
 from rosterforge.llm.components import connected_components
-from rosterforge.llm.simhash import set_fingerprint, shingles
+from rosterforge.llm.simhash import set_fingerprint
 
 WORDS = 4
 #: Jaccard similarity as a fraction of whole numbers.
@@ -40,7 +40,13 @@ OFTEN = 16
 #: another order: their lists are found by length, and results do not change.
 MOST = 1_000_000
 #: Shingles that a task gathers before it passes their counts on, and text per part of the counts.
-GATHERED, PART_CHARS = 2_000_000, 16_000_000
+GATHERED, PART_CHARS = 1_000_000, 16_000_000
+#: Slots of a part.
+SLOTS = 1 << 24
+#: Bytes of texts that are taken apart at a time (a longer text is one block).
+BLOCK = 1_000_000
+#: The bytes that separate words.
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 #: Row keys or pairs up to which the candidates' texts and sets are found by broadcast.
 BROADCAST_ROWS = 1_000_000
 #: Meetings per member, before sizes and places are looked at, at which the rounds over common lists end.
@@ -49,16 +55,65 @@ PER_MEMBER = 500
 BUCKETS = 256
 
 
-def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles; a shorter text is one shingle, none have none."""
-    return np.unique(shingles(text, words))
+def _mixed(h: np.ndarray, more: np.ndarray | int) -> np.ndarray:
+    """Hashes with one more number told to each: one to one in either, then MurmurHash3's finalizer."""
+    h = (h ^ more) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(33)
+    h *= np.uint64(0xFF51AFD7ED558CCD)
+    h ^= h >> np.uint64(33)
+    h *= np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ h >> np.uint64(33)
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(where the words of lower-cased text begin, their hashes), of the words' bytes, eight at a time, and their lengths."""
+    edges = np.flatnonzero(np.diff(BLANK[np.frombuffer(b" " + data + b" ", np.uint8)]))
+    starts, left = edges[::2], edges[1::2] - edges[::2]
+    eights = np.ndarray(len(data), "<u8", data + bytes(8), strides=(1,))  # from every byte on
+    h, at = _mixed(left.astype(np.uint64), 42), np.arange(len(starts))
+    place = starts
+    while len(at):
+        bits = np.uint64(8) * (8 - np.minimum(left, 8)).astype(np.uint64)
+        h[at] = _mixed(h[at], eights[place] << bits)
+        on = left > 8
+        at, place, left = at[on], place[on] + 8, left[on] - 8
+    return starts, h
+
+
+def shingle_sets(texts: Iterable[str | None], words: int) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of each text's shingles; a shorter text is one shingle, none have none."""
+
+    def block(part: list[bytes]) -> Iterator[np.ndarray]:
+        starts, word = _word_hashes(b" ".join(part))
+        ends = np.cumsum([len(t) + 1 for t in part])
+        bounds = np.searchsorted(starts, ends).tolist()
+        first = _mixed(word, 43)  # other than the words that follow: their order counts
+        h = first[: max(0, len(word) - words + 1)]
+        for i in range(1, words):
+            h = _mixed(h, word[i : len(h) + i])
+        for a, b in zip([0, *bounds[:-1]], bounds, strict=True):
+            if b - a >= words:
+                own = np.sort(h[a : b - words + 1])
+                yield own[np.concatenate(([True], own[1:] != own[:-1]))]
+            else:
+                yield reduce(_mixed, [word[i : i + 1] for i in range(a + 1, b)], first[a : min(b, a + 1)])
+
+    part, size = [], 0
+    for text in texts:
+        part.append(text.encode().lower() if text else b"")  # bytes: A-Z and ASCII space only
+        size += len(part[-1])
+        if size >= BLOCK:
+            yield from block(part)
+            part, size = [], 0
+    if part:
+        yield from block(part)
 
 
 def _codes(h: np.ndarray, parts: int) -> np.ndarray:
     """Shingles by the part that counts them and one of its 2^24 slots (some 3 million
     shingles fall to a part whatever the input, so few share a slot)."""
     p = np.uint64(parts)
-    return (h % p << np.uint64(32)) | (h // p & np.uint64(0xFFFFFF))
+    return (h % p << np.uint64(32)) | (h // p & np.uint64(SLOTS - 1))
 
 
 def _packed(slots: np.ndarray) -> bytes:
@@ -83,9 +138,13 @@ def common_shingles(docs: DataFrame, text: str, words: int) -> tuple[int, np.nda
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def merged(sets: list[np.ndarray]) -> pd.DataFrame:
-            codes, n = np.unique(_codes(np.concatenate(sets), parts), return_counts=True)
+            codes = _codes(np.concatenate(sets), parts)
+            codes.sort()
+            at = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+            codes, n = codes[at], np.diff(at, append=len(codes))
             part, rest = (codes >> np.uint64(32)).astype(np.int64), codes.astype(np.uint32)
-            own, ends = np.unique(part, return_index=True)
+            ends = np.flatnonzero(np.diff(part, prepend=-1))
+            own = part[ends]
             rows = []
             for p, a, b in zip(own.tolist(), ends.tolist(), [*ends[1:].tolist(), len(part)], strict=True):
                 r, c = rest[a:b], n[a:b]
@@ -94,9 +153,9 @@ def common_shingles(docs: DataFrame, text: str, words: int) -> tuple[int, np.nda
 
         sets, size = [], 0
         for batch in batches:
-            for t in batch["t"]:
-                sets.append(shingle_set(t, words))
-                size += len(sets[-1])
+            for own in shingle_sets(batch["t"], words):
+                sets.append(own)
+                size += len(own)
                 if size >= GATHERED:
                     yield merged(sets)
                     sets, size = [], 0
@@ -104,13 +163,19 @@ def common_shingles(docs: DataFrame, text: str, words: int) -> tuple[int, np.nda
             yield merged(sets)
 
     def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        one, more = (np.concatenate([_unpacked(x) for x in rows[c]]) for c in ("once", "more"))
-        n = np.frombuffer(b"".join(rows["n"]), np.uint32)
-        ids, at = np.unique(np.concatenate((one, more)), return_inverse=True)
-        sums = np.bincount(at, np.concatenate((np.ones(len(one)), n)), len(ids))
-        often = sums > OFTEN
-        codes = (np.uint64(key[0]) << np.uint64(32)) | ids[often].astype(np.uint64)
-        return pd.DataFrame({"code": codes.view(np.int64), "level": np.log2(sums[often]).astype(np.int8)})
+        ones, mores = [_unpacked(x) for x in rows["once"]], [_unpacked(x) for x in rows["more"]]
+        found, n = [], [np.frombuffer(x, np.uint32) for x in rows["n"]]
+        for at in range(0, SLOTS, SLOTS // 8):  # an eighth at a time: the sums of all slots would take 64 MB
+            sums = np.zeros(SLOTS // 8, np.uint32)
+            for x in ones:  # no slot stands twice in any of these
+                a, b = np.searchsorted(x, np.asarray((at, at + len(sums)), np.uint32))
+                sums[x[a:b] - np.uint32(at)] += np.uint32(1)
+            for x, c in zip(mores, n, strict=True):
+                a, b = np.searchsorted(x, np.asarray((at, at + len(sums)), np.uint32))
+                sums[x[a:b] - np.uint32(at)] += c[a:b]
+            often = np.flatnonzero(sums > OFTEN)
+            found.append(pd.DataFrame({"code": (key[0] << 32) | (often + at), "level": np.log2(sums[often]).astype(np.int8)}))
+        return pd.concat(found)
 
     spread = docs.select(F.col(text).alias("t")).mapInPandas(gather, "part long, once binary, more binary, n binary")
     often = cut(spread.groupBy("part").applyInPandas(count, "code long, level byte"))
@@ -143,15 +208,17 @@ def _marked(docs: DataFrame, key: str, text: str, words: int, similar: tuple[int
     @F.pandas_udf("s long, n long, pre array<long>, rare int, fp long")
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codes, levels = known.value
+        low = np.uint64(SLOTS // 4 - 1)
+        slots = np.zeros(SLOTS // 4, bool)  # the low bits of common shingles: few others need the search
+        slots[codes & low] = True
         for texts in batches:
             rows = []
-            for t in texts:
-                h = shingle_set(t, words)
+            for h in shingle_sets(texts, words):
+                own = _codes(h, parts)
                 level = np.zeros(len(h), np.int8)
-                if len(codes) and len(h):
-                    own = _codes(h, parts)
-                    at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
-                    level = np.where(codes[at] == own, levels[at], 0)
+                if len(at := np.flatnonzero(slots[own & low])):
+                    near = np.minimum(np.searchsorted(codes, own[at]), len(codes) - 1)
+                    level[at] = np.where(codes[near] == own[at], levels[near], 0)
                 pre, rare = prefix(h, level, similar)
                 rows.append((xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63), len(h), pre.view(np.int64), rare, set_fingerprint(h) if fingerprints else 0))
             yield pd.DataFrame(rows, columns=["s", "n", "pre", "rare", "fp"])
@@ -321,7 +388,7 @@ def _sets(docs: DataFrame, rows: DataFrame, key: str, text: str, words: int) ->
     @F.pandas_udf("items array<long>, counts array<int>")
     def items(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            sets = [shingle_set(t, words) for t in texts]
+            sets = [*shingle_sets(texts, words)]
             counts = [np.bincount((x % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS).astype(np.int32) for x in sets]
             yield pd.DataFrame({"items": [x.view(np.int64) for x in sets], "counts": counts})
 

@@ -1,6 +1,8 @@
 import random
+import time
 
 from rosterforge.llm import jaccard_join as jj
+from rosterforge.llm.simhash import shingles
 
 
 def shingle_sets(rows, words=4):
@@ -81,6 +83,48 @@ def test_every_boundary_and_unknown_common_shingles(make, prose, monkeypatch):
         monkeypatch.setattr(jj, "PER_MEMBER", 1)
 
 
+def test_sets_are_those_of_plain_shingles(prose, odd, monkeypatch):
+    texts = [t for _, t, *_ in odd] + ["a", "b a", "a b a", "b a a b", "a b b a", "eight888 eight8888 " * 3, "sixteen890123456 sixteen8901234567", "nul\0 nul nul\0\0 nul"]
+    texts += prose(3, 40, 1, 60)
+    for block in (jj.BLOCK, 50):
+        monkeypatch.setattr(jj, "BLOCK", block)
+        for words in (1, 2, 4, 5):
+            got, named = [*jj.shingle_sets(texts, words)], {}
+            want = shingle_sets([(0, t) for t in texts], words)
+            assert [len(h) for h in got] == [len(x) for x in want]
+            assert all((h[1:] > h[:-1]).all() for h in got)
+            for h, x in zip(got, want, strict=True):  # equal shingles, equal hashes, in whatever text
+                assert named.setdefault(frozenset(x), h.tobytes()) == h.tobytes()
+            assert len({x for h in got for x in h.tolist()}) == len(set().union(*want))
+
+
+def test_sets_take_no_python_step_a_shingle(prose):
+    texts = prose(4, 400, 400, 600)
+
+    def seconds(f):
+        least = []
+        for _ in range(3):
+            t = time.thread_time()
+            f()
+            least.append(time.thread_time() - t)
+        return min(least)
+
+    assert 2 * seconds(lambda: [*jj.shingle_sets(texts, 4)]) < seconds(lambda: [shingles(t, 4) for t in texts])
+
+
+def test_common_shingles_are_those_of_plain_counts(make, prose, monkeypatch):
+    monkeypatch.setattr(jj, "GATHERED", 500)
+    texts = prose(5, 60, 1, 40) * 3 + prose(6, 5, 20, 40) * 20 + [None, " "]
+    parts, codes, levels, partly = jj.common_shingles(make([*enumerate(texts)]), "text", 2)
+    counts = {}
+    for h in jj.shingle_sets(texts, 2):
+        for c in jj._codes(h, parts).tolist():
+            counts[c] = counts.get(c, 0) + 1
+    want = {c: n.bit_length() - 1 for c, n in counts.items() if n > jj.OFTEN}
+    assert len(want) > 50 and not partly
+    assert dict(zip(codes.tolist(), levels.tolist(), strict=True)) == want and (codes[1:] > codes[:-1]).all()
+
+
 def test_odd_rows(make, odd):
     assert got(make(odd)) == by_all_pairs(odd)
     assert got(make([])) == [] and got(make([(1, None), (1, " ")])) == [(1, 0, 1), (1, 0, 1)]
