@@ -1,8 +1,11 @@
 import random
+import tracemalloc
 
 import corpus_pipeline as pipeline
 
+from rosterforge.llm import jaccard_join as jj
 from rosterforge.llm import near_copies as nc
+from rosterforge.llm.simhash import shingles
 
 
 def jaccard(a, b):
@@ -68,3 +71,16 @@ def test_one_of_equal_rows_stays_and_no_single_text_is_shuffled(make, odd, prose
         assert sorted((x.doc_id, x.text) for x in nc.keep_one(make(rows)).collect()) == list(enumerate(texts))
         assert len(nc.keep_one(make(odd)).collect()) == 6
     assert "LeftAnti" in nc.keep_one(make(rows))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_long_text_takes_no_python_object_a_word():
+    text = " ".join(f"w{i}" for i in range(100_000))
+
+    def peak(f):
+        tracemalloc.start()
+        f()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    assert 1.5 * peak(lambda: [*jj.shingle_sets([text], nc.WORDS)]) < peak(lambda: shingles(text, nc.WORDS))
