@@ -87,3 +87,67 @@ def test_most_queries_on_the_embeddings_stop_before_their_lists_end():
     want = [(int(q), int(ids[j]), int(row[j])) for q, row in zip(ids[asked], scores, strict=True) for j in sorted((j for j in range(len(ids)) if ids[j] != q), key=lambda j: (-row[j], ids[j]))[:5]]
     assert found == sorted(want) and len(told) == asked.sum()
     assert sum(share < 1 for share in told) >= 0.8 * len(told)
+
+
+def met(q, ids, x, k, size, told=None, first=40):
+    """What the blocks' best give, and what all scores give."""
+    import numpy as np
+
+    best = nra.Best(q, k, nra.first_bounds(q, ids[:first], x[:first], k), told)
+    for at in range(0, len(ids), size):
+        best.meet(ids[at : at + size], x[at : at + size])
+    scores = nra._exact(q.astype(np.int64), x.astype(np.int64)).tolist()
+    want = [sorted(zip((-s for s in row), ids.tolist(), strict=True))[:k] for row in scores]
+    got = [[(-int(s), int(i)) for s, i in zip(*row, strict=True)][:n] for *row, n in zip(best.scores, best.ids, best.held, strict=True)]
+    return got, want
+
+
+def test_bounds_of_earlier_blocks_lose_nothing(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(nra, "ABREAST", 7)
+    r = np.random.default_rng(5)
+    # few different scores; singles, doubles and neither hold the sums
+    for most in (2, 1 << 14, 1 << 22, 1 << 60):
+        for first in (3, 40, 300):
+            x = r.integers(-most, most, (300, 6), endpoint=True)
+            ids = r.permutation(1000)[:300] - 500
+            got, want = met(x[:30], ids, x, 4, 37, first=first)
+            assert got == want
+    x = np.zeros((90, 3), np.int16)  # all scores equal
+    got, want = met(x[:5], np.arange(90)[::-1].copy(), x, 4, 20)
+    assert got == want
+    got, want = met(x[:5], np.arange(3), x[:3], 4, 20)
+    assert got == want and all(len(row) == 3 for row in got)
+
+
+def test_blocks_stop_before_the_lists_end():
+    import numpy as np
+
+    r = np.random.default_rng(6)
+    x = np.rint(r.normal(0, 100, (20_000, 32)) * 0.6 ** np.arange(32)).astype(np.int16)
+    told = []
+    got, want = met(x[:50], np.arange(20_000), x, 5, 500, told, first=600)
+    assert got == want and max(told[-5:]) < 0.5
+
+
+def test_equal_vectors_and_groups_of_queries(spark, monkeypatch):
+    for name, n in (("QUERIES", 3), ("CANDIDATES", 50), ("FIRST", 20), ("BLOCK", 30), ("ABREAST", 2)):
+        monkeypatch.setattr(nra, name, n)
+    r = random.Random(8)
+    kinds = [[r.gauss(0, 0.3) for _ in range(5)] for _ in range(30)]
+    rows = [(i, kinds[0] if i % 3 == 0 else r.choice(kinds)) for i in range(700)]
+    rows += [(i, [r.gauss(0, 0.3) for _ in range(r.randint(0, 5))]) for i in range(700, 1000)]
+    got, want = search(spark, rows)
+    assert got == want
+
+
+def test_few_pairs_come_up_to_the_bounds_of_earlier_blocks(monkeypatch):
+    """Before, each block began without bounds and resolved up to 64 candidates a query."""
+    import numpy as np
+
+    taken, merge = [], nra.Best._merge
+    monkeypatch.setattr(nra.Best, "_merge", lambda self, rows, *found: (taken.append(len(rows)), merge(self, rows, *found))[1])
+    x = np.random.default_rng(9).integers(-130, 130, (40_000, 16)).astype(np.int16)
+    got, want = met(x[:100], np.arange(len(x)), x, 6, nra.BLOCK, first=nra.FIRST)
+    assert got == want and sum(taken) < 40 * 100
