@@ -44,8 +44,10 @@ ABREAST = 512
 UNREAD = (1 / 4, 1 / 16, 1 / 64)
 #: A query stops reading when so many candidates at most are left.
 LEFT = 64
-#: Queries abreast do if so many are left to each on average, and to no more of them than the share of the lists that is unread.
+#: Queries abreast do if so many are left to each on average, in no more of their stretches than the share of the lists that is unread.
 FEW = 8
+#: Candidates of a stretch, which is passed over by its highest sum.
+STRETCH = 250
 LONG = (1 << 63) - 1
 
 
@@ -171,6 +173,7 @@ class Best:
         if self.room.size < len(q) * len(x) or self.room.dtype != lists.dtype:
             self.room = np.empty(len(q) * len(x), lists.dtype)
         sums = self.room[: len(q) * len(x)].reshape(len(q), len(x))
+        stretches = sums.reshape(len(q), -1, len(x) if len(x) % STRETCH else STRETCH)
         order, read = np.arange(dims), 0
         if self.level < len(UNREAD):
             reach = np.abs(w).mean(0, dtype=np.float64) * (top - bottom)
@@ -187,15 +190,16 @@ class Best:
             read, rest = depth, order[depth:]
             # the sums and the high ends of the unread lists are upper bounds
             reached = (need - np.maximum(w[:, rest] * top[rest], w[:, rest] * bottom[rest]).sum(1)).astype(sums.dtype)
-            some = np.flatnonzero(sums.max(1) >= reached)
-            live = sums[some] >= reached[some, None]
-            if read == dims or len(some) <= len(q) * (1 - read / dims) and np.count_nonzero(live) <= FEW * len(q):
+            highest = stretches.max(2)
+            i, part = np.nonzero(highest >= reached[:, None])
+            live = stretches[i, part] >= reached[i, None]
+            if read == dims or len(i) <= highest.size * (1 - read / dims) and np.count_nonzero(live) <= FEW * len(q):
                 break
             self.level += 1
         if self.told is not None:
             self.told.append(read / dims)
-        i, j = np.divmod(np.flatnonzero(live), len(x))
-        i = some[i]
+        which, j = np.divmod(np.flatnonzero(live), stretches.shape[2])
+        i, j = i[which], part[which] * stretches.shape[2] + j
         if read == dims:
             return i, j, sums[i, j].astype(np.int64)
         found = (q[i].astype(np.float64) * x[j]).sum(1).astype(np.int64)
